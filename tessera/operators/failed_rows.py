@@ -249,7 +249,7 @@ def split_failures(lines: DataFrame, layout: Sequence[Field], text: str, delimit
         cell = F.nullif(F.col("_o.cells")[k], F.lit(""))
         if f.strip:
             cell = F.regexp_replace(cell, f.strip, "")
-        typed.append(cell.cast(f.spark_type).alias(f"value_{f.name}" if f.name in keep else f.name))
+        typed.append(cell.try_cast(f.spark_type).alias(f"value_{f.name}" if f.name in keep else f.name))
     failed = parsed.where("_o.failure_code is not null").select(
         *keep, F.col("_o.failure_code").alias("failure_code"), F.array_join("_o.edits", "; ").alias("reason"),
         F.size("_o.edits").alias("n_edits"), F.col("_raw").alias("raw_input"),

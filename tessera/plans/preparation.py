@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import failed_rows
+from ..operators import drift, failed_rows, packed, units
 from ..session import table
 
 
@@ -24,5 +25,56 @@ def p1_valid(spark: SparkSession, d: str) -> DataFrame:
     return failed_rows.export_outcome(table(spark, d, "raw_line"), table(spark, d, "artifact"))[0]
 
 
-QUERIES = {"p1_found": p1_found, "p1_failures": p1_failures, "p1_valid": p1_valid}
+def _drift(spark: SparkSession, d: str) -> drift.Drift:
+    return drift.Drift(drift.staged_values(table(spark, d, "raw_field"), table(spark, d, "artifact")))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every change of a path between a file and the data set's previous one."""
+    return _drift(spark, d).changes()
+
+
+def p3_lifespans(spark: SparkSession, d: str) -> DataFrame:
+    """First and last edition number of each unbroken run of a path, with the last name of its chain of renames."""
+    return _drift(spark, d).aliases()
+
+
+def p3_table(spark: SparkSession, d: str) -> DataFrame:
+    """All editions in one consistent, typed table."""
+    return _drift(spark, d).consistent()
+
+
+def _claims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return table(spark, d, "parsed_value"), table(spark, d, "metric"), table(spark, d, "unit_reference")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of claims about the same thing whose amounts agree in the base unit."""
+    return units.agreeing_claims(*_claims(spark, d))
+
+
+def p4_amounts(spark: SparkSession, d: str) -> DataFrame:
+    """Every claim with its amount in the metric's base unit, or the reason it has none."""
+    columns = ["parsed_value_id", "dataset_code", "source_key", "metric_code", "reference_year", "base_amount", "base_unit", "read_unit", "amount_reason"]
+    return units.normalise(*_claims(spark, d)).select(*columns)
+
+
+def _lists(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "raw_field").where(F.col("field_name").isin(*packed.LIST_FIELDS))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Members of the lists with two or more members."""
+    return packed.explode_labels(_lists(spark, d), ["field_value_id"], "raw_text", least=2)
+
+
+def p5_members(spark: SparkSession, d: str) -> DataFrame:
+    """Members of all lists with note, amount and error flag."""
+    return packed.explode_members(_lists(spark, d), ["field_value_id", "source_key", "field_name"], "raw_text")
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_failures": p1_failures, "p1_valid": p1_valid, "p3_found": p3_found, "p3_lifespans": p3_lifespans, "p3_table": p3_table,
+    "p4_found": p4_found, "p4_amounts": p4_amounts, "p5_found": p5_found, "p5_members": p5_members,
+}
 SQL: dict[str, str] = {}
