@@ -73,7 +73,7 @@ _INSTRUCTION = re.compile(
     r"|<(?:add|insert|enter|your|votre|ihre?|su|nombre|nom|name)\b(?: [^<>=\n]{1,40})?>",
     re.I,
 )
-_NONE = re.compile(r"(?<![.!?…\n\"“«] )(?<=\S )None(?! of\b)(?=[ .,;]|$)")
+_NONE = re.compile(r"(?<![.!?…\n\"“«] )(?<=\S )None(?! of\b)(?=[\s.,;]|$)")
 _CODED = re.compile(r"(?:^|[\n.!?…—]\s*|\s{2,})(?:http |status )?(?:error|fehler|erreur|http error)[ :]+[45]\d\d\b(?! [\w]* ?percent)|\btraceback(?: \(most recent call last\))?: ?(?:\w+error\b)?|\b\w+error: '", re.I)
 _SCRIPTS = re.compile(r"\b(?:enable|activate|turn on|switch on|allow|activer|aktivieren|activar|habilitar)\W+(?:\w+\W+){0,3}(?:javascript|java script)\b", re.I)
 _REFERENCE = re.compile(r"\b(?=\w*\d)\w{4,}\b|\d+")
