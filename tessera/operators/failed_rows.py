@@ -230,9 +230,10 @@ def parse_outcome(line: Column, delimiter: Column, layout: Sequence[Field]) -> C
     @F.pandas_udf(OUTCOME)
     def outcome(lines: pd.Series, delimiters: pd.Series) -> pd.DataFrame:
         out = [parse_line(a if isinstance(a, str) else None, d if isinstance(d, str) else None, layout) for a, d in zip(lines, delimiters)]
-        return pd.DataFrame(out, columns=["cells", "failure_code", "edits", "cost"])
+        return pd.DataFrame(out, columns=["cells", "failure_code", "edits", "cost"], dtype=object)
 
-    return outcome(line, delimiter)
+    # a filter on the outcome must not run the parse again below the projection
+    return outcome.asNondeterministic()(line, delimiter)
 
 
 def split_failures(lines: DataFrame, layout: Sequence[Field], text: str, delimiter: Column, keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
