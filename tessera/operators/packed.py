@@ -185,12 +185,13 @@ LIST_FIELDS = ("Ethnic groups", "Languages", "Religions", "Border countries", "E
 
 def explode_members(df: DataFrame, key: Sequence[str], text: str, least: int = 1) -> DataFrame:
     """One row per member of the texts that hold at least `least`: key columns, list_position, label, note, amount, flag."""
-    lists = df.select(*key, unpack(F.col(text)).alias("_m")).where(F.size("_m") >= least)
+    # marked as not deterministic so that the filter doesn't run the parser a second time
+    lists = df.select(*key, unpack.asNondeterministic()(F.col(text)).alias("_m")).where(F.size("_m") >= least)
     return lists.select(*key, F.inline("_m"))
 
 
 def explode_labels(df: DataFrame, key: Sequence[str], text: Column | str, least: int = 1) -> DataFrame:
     """As explode_members, with list_position and label only; less data crosses to and from Python."""
     text = F.col(text) if isinstance(text, str) else text
-    lists = df.select(*key, unpack_labels(text).alias("_m")).where(F.size("_m") >= least)
+    lists = df.select(*key, unpack_labels.asNondeterministic()(text).alias("_m")).where(F.size("_m") >= least)
     return lists.select(*key, F.posexplode("_m").alias("_p", "label")).select(*key, (F.col("_p") + 1).alias("list_position"), "label")
