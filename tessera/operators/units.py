@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import small
+from ..session import materialise, small
 
 # ---- vocabulary (fixed values) --------------------------------------------------------------------------------------
 
@@ -292,7 +292,7 @@ def amount_column(metrics: Mapping[str, tuple[str, str]], units: Mapping[str, tu
     def amount(raw: pd.Series, hint: pd.Series, scale: pd.Series, currency: pd.Series, metric: pd.Series) -> pd.DataFrame:
         text = lambda v: v if isinstance(v, str) else None
         out = [read_amount(text(r), text(h), text(s), text(c), *metrics.get(m, (None, None)), factors, known) for r, h, s, c, m in zip(raw, hint, scale, currency, metric)]
-        return pd.DataFrame(out, columns=["amount", "unit", "reason"])
+        return pd.DataFrame(out, columns=["amount", "unit", "reason"], dtype=object)
 
     return amount
 
@@ -339,4 +339,6 @@ CLAIM_KEY = ("dataset_code", "source_key", "metric_code", "reference_year")
 def agreeing_claims(parsed_value: DataFrame, metric: DataFrame, unit_reference: DataFrame) -> DataFrame:
     """Pairs of claims about the same thing with the same amount; rows with a null in the key pair with none."""
     claims = parsed_value.dropna(subset=list(CLAIM_KEY)).select("parsed_value_id", *CLAIM_KEY, "raw", "unit_hint", "scale_word", "currency")
-    return equal_amounts(normalise(claims, metric, unit_reference), F.struct(*CLAIM_KEY), "parsed_value_id", "base_amount")
+    # both sides of the band join need the amounts: they are worked out once, as a narrow table in the shared folder
+    amounts = materialise(normalise(claims, metric, unit_reference).select("parsed_value_id", *CLAIM_KEY, "base_amount"))
+    return equal_amounts(amounts, F.struct(*CLAIM_KEY), "parsed_value_id", "base_amount")
