@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from operator import eq
 
 import ahocorasick
 import pandas as pd
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialise
+
 # ---- fixed values -----------------------------------------------------------------------------------------------------
 
 #: Stock sentences that count wherever they stand outside quotation marks.
@@ -63,11 +66,17 @@ RESPONSE_WORDS = frozenset(
     "page error server request session browser javascript script scripts scripting cookies access permission denied expired reload loading administrator reference database connection unavailable maintenance seite fehler anfrage sitzung zugriff serveur erreur navigateur requête página servidor solicitud navegador acceso sesión".split()
 )
 
-_PLACEHOLDER = re.compile(
-    r"\{\{[^{}\n]{0,60}\}\}|\{%[^{}\n]{0,80}%\}|<%[^<>\n]{0,80}%>|\$\{[^{}\n]{1,60}\}|#\{[^{}\n]{1,60}\}|%\([\w.]{1,60}\)[sd]|@@[\w.]{1,60}@@|\[\[[A-Z][A-Z0-9_.]*\]\]|(?<![\w%])%[A-Z][A-Z_]*(?:\.[A-Z_]+)?%(?!\w)|(?<!\w)__[A-Z][A-Z0-9]*(?:[_.][A-Z0-9]+)*__(?!\w)|(?<![{$#\w])\{[A-Za-z_][\w.]*\}"
-    r"|\{%|%\}|<%=|\{\{ |(?<![\w%])%[sd](?![\w%])|#REF!|#(?:NAME|VALUE)\?|\[object Object\]|\bXX\.X\b|\bTODO:|(?<![\w-])undefined(?![\w-])|\bNaN\b"
-    r"|&lt;(?:name|title|text|your [^&]{1,30})&gt;"
-)
+#: What must stand in a text -> the placeholders that hold it; a text without the first is never searched for the second.
+_PLACEHOLDERS = tuple(
+    (mark, re.compile(pattern))
+    for mark, pattern in (
+        ("{", r"\{\{[^{}\n]{0,60}\}\}|\{%[^{}\n]{0,80}%\}|\$\{[^{}\n]{1,60}\}|#\{[^{}\n]{1,60}\}|(?<![{$#\w])\{[A-Za-z_][\w.]*\}|\{%|\{\{ "),
+        ("%", r"<%[^<>\n]{0,80}%>|<%=|%\}|%\([\w.]{1,60}\)[sd]|(?<![\w%])%[A-Z][A-Z_]*(?:\.[A-Z_]+)?%(?!\w)|(?<![\w%])%[sd](?![\w%])"),
+        ("@@", r"@@[\w.]{1,60}@@"), ("[[", r"\[\[[A-Z][A-Z0-9_.]*\]\]"), ("__", r"(?<!\w)__[A-Z][A-Z0-9]*(?:[_.][A-Z0-9]+)*__(?!\w)"),
+        ("#", r"#REF!|#(?:NAME|VALUE)\?"), ("[object", r"\[object Object\]"), ("XX", r"\bXX\.X\b"), ("TODO", r"\bTODO:"), ("undefined", r"(?<![\w-])undefined(?![\w-])"), ("NaN", r"\bNaN\b"),
+        ("&lt;", r"&lt;(?:name|title|text|your [^&]{1,30})&gt;"),
+    )
+)
 _INSTRUCTION = re.compile(
     r"\[(?:insert|enter|your|add|name of|tbd|tba|todo|fill in|placeholder|hier einfügen|name ergänzen|bitte ergänzen|ihr text|à compléter|insérer|votre texte|por completar|inserte|insertar|su texto)\b[^\[\]\n]{0,60}\]"
     r"|<(?:add|insert|enter|your|votre|ihre?|su|nombre|nom|name)\b(?: [^<>=\n]{1,40})?>",
@@ -118,6 +127,8 @@ def _quoted(text: str, at: int) -> bool:
 def repeated_words(words: list[str]) -> bool:
     """A run of one word or pair of words four times or more (three of a word that is itself a repetition)."""
     for period in (1, 2):
+        if not any(map(eq, words, words[period:])):
+            continue
         run = 0
         for a, b in zip(words, words[period:]):
             run = run + 1 if a == b else 0
@@ -134,7 +145,7 @@ def evidence(text: str | None) -> list[str]:
     if not text or not text.strip():
         return []
     found = set()
-    if _PLACEHOLDER.search(text) or _INSTRUCTION.search(text) or "None" in text and _NONE.search(text):
+    if any(mark in text and pattern.search(text) for mark, pattern in _PLACEHOLDERS) or ("[" in text or "<" in text) and _INSTRUCTION.search(text) or "None" in text and _NONE.search(text):
         found.add("placeholder")
     low = text.lower().replace("’", "'").replace(" ", " ")
     same_length = len(low) == len(text)
@@ -147,21 +158,20 @@ def evidence(text: str | None) -> list[str]:
         if whole and not (_begins(low, at) and _ends(low, end + 1) and (not same_length or not text[at].islower())):
             continue
         found.add(kind)
-    if _CODED.search(low):
+    if ("error" in low or "fehler" in low or "erreur" in low or "traceback" in low) and _CODED.search(low):
         found.add("error")
     if "javascript" in low and (m := _SCRIPTS.search(low)) and not _quoted(low, m.start()):
         found.add("notice")
     words = low.split()
     if "filler" not in found:
         run = 0
-        for w in words:
-            run = run + 1 if w.strip(".,;:!?") in PSEUDO_LATIN else 0
-            if run >= 4:
-                found.add("filler")
-                break
-        else:
-            if repeated_words(words):
-                found.add("filler")
+        if sum(w in PSEUDO_LATIN for w in words) >= 2:
+            for w in words:
+                run = run + 1 if w.strip(".,;:!?") in PSEUDO_LATIN else 0
+                if run >= 4:
+                    break
+        if run >= 4 or repeated_words(words):
+            found.add("filler")
     return sorted(found)
 
 
@@ -189,15 +199,18 @@ def judged(documents: DataFrame, most_terms: int = 25) -> DataFrame:
         return pd.DataFrame(out, columns=["kinds", "body"])
 
     address = F.concat_ws(" ", "source_key", "section_name", "title")
-    return documents.withColumn("_e", judge(F.col("text"), address))
+    # marked as not deterministic so that filters on the verdict don't judge a second time
+    return documents.withColumn("_e", judge.asNondeterministic()(F.col("text"), address))
 
 
 def flagged(documents: DataFrame, least_titles: int = 3, least_keys: int = 2) -> DataFrame:
     """doc_id, kinds of each document with residue. A body judged across texts has the kind ``served_response``.
 
+    Texts are judged once; the few rows with evidence go to a narrow table in the shared folder that the rest reads.
     Bodies are counted per (body, title, key) first, so a body served a billion times shuffles as few rows.
     """
-    seen = judged(documents).select("doc_id", "title", "source_key", "_e.kinds", "_e.body")
+    held = judged(documents).select("doc_id", "title", "source_key", "_e.kinds", "_e.body")
+    seen = materialise(held.where("size(kinds) > 0 or body is not null"))
     direct = seen.where(F.size("kinds") > 0).select("doc_id", "kinds")
     open_ = seen.where(F.col("body").isNotNull()).withColumn("body_key", F.sha2("body", 256))
     served = open_.groupBy("body_key", "title", "source_key").agg(F.lit(1)).groupBy("body_key").agg(F.count_distinct("title").alias("titles"), F.count_distinct("source_key").alias("keys"))
