@@ -51,7 +51,8 @@ def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, d: str) -> mixture.Mixture:
-    return mixture.Mixture(mixture.sized(table(spark, d, "documents")), table(spark, d, "mix_target"))
+    # the largest mixture in which every source with records has its share exactly; a fixed size is the caller's choice
+    return mixture.Mixture(mixture.sized(table(spark, d, "documents")), table(spark, d, "mix_target"), total="exact")
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
