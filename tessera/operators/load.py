@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as v
+from ..session import small
 from .relational import first_by
 
 KINDS = ("observation", "composition", "bilateral", "coordinate", "narrative", "ignore")
 #: Cuts of stored texts (fixed values).
 MOST_TEXT, MOST_RAW = 4000, 2000
 NARRATIVE_LENGTH = 200
+#: Rules a mapping may have.
+MOST_RULES = 10_000
 
 
 @dataclass
@@ -33,11 +36,17 @@ def staged_once(fields: DataFrame) -> DataFrame:
 
 
 def dispatch(fields: DataFrame, mapping: DataFrame) -> DataFrame:
-    """fields with target_kind and metric of their mapping, null where unmapped. mapping: (field_name, target_kind, metric), the last row of a name counts; an empty mapping is refused."""
-    if mapping.limit(1).count() == 0:
+    """fields with target_kind and metric of their mapping, null where unmapped.
+
+    mapping: (field_name, target_kind, metric, position), the last row of a name counts; an empty mapping is refused. It
+    is a table of rules, at most MOST_RULES of them, checked; so it is broadcast, and fields never shuffle by their few names.
+    """
+    rows = small(mapping.select("field_name", "target_kind", "metric", "position"), MOST_RULES, "mapping")
+    if not rows:
         raise ValueError("the mapping set is empty; loading would drop every field")
-    rules = mapping.groupBy("field_name").agg(F.max_by(F.struct("target_kind", "metric"), "position").alias("m")).select("field_name", "m.target_kind", "m.metric")
-    return fields.join(rules, "field_name", "left")
+    rules = {r.field_name: (r.field_name, r.target_kind, r.metric) for r in sorted(rows, key=lambda r: r.position)}
+    table = fields.sparkSession.createDataFrame(list(rules.values()), "field_name string, target_kind string, metric string")
+    return fields.join(F.broadcast(table), "field_name", "left")
 
 
 def load(fields: DataFrame, mapping: DataFrame, year: str = "edition_year") -> Loaded:

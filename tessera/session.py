@@ -30,20 +30,25 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary folder only where none is named (tests)."""
+    """The shared folder the cluster names; a temporary folder only where none is named and all runs in one process (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", "")
     if not found:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = jvm_dir.get() if jvm_dir.isDefined() else ""
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         found = tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there and lost executors cost nothing."""
-    path = f"{checkpoint_dir(df.sparkSession)}/tessera-{uuid.uuid4().hex}"
+    """Write df to the shared folder and read it back: lineage ends there and lost executors cost nothing.
+
+    All tables of one application lie in one folder there, to be removed when the application is over.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/tessera-{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
