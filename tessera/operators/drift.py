@@ -24,6 +24,8 @@ from ..session import materialise
 
 #: Statements that a value is absent, lower case (fixed values).
 ABSENCES = ("na", "n/a", "n.a.", "negl", "-", "none reported", "not available", "unknown")
+#: Changed paths that go to every executor instead of all values to the changed paths: about 100 bytes each.
+BROADCAST_PATHS = 200_000
 CLASSES = ("whole", "decimal", "percentage", "date", "text")
 
 _MONTH = "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)\\.?"
@@ -117,7 +119,9 @@ class Drift:
             self.starts.select("dataset_code", "nth", F.col("new_path").alias("path"), F.lit(1).alias("side"), F.col("nth").alias("at"))
         )
         at = years.select("dataset_code", F.col("nth").alias("at"), "edition_year")
-        changed = sides.join(at, ["dataset_code", "at"]).drop("at")
+        changed = materialise(sides.join(at, ["dataset_code", "at"]).drop("at"))
+        if changed.limit(BROADCAST_PATHS + 1).count() <= BROADCAST_PATHS:
+            changed = F.broadcast(changed)  # else the values shuffle by path
         # equality of texts is all that counts here, so long ones travel as digests
         text = F.when(F.length("raw_text") > 40, F.sha2("raw_text", 256)).otherwise(F.col("raw_text"))
         held = materialise(
