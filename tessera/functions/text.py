@@ -11,13 +11,24 @@ STOPWORDS = tuple("a an and are as at be but by for from had has have he her his
 
 def tokens(text: Column) -> Column:
     """Lower-case words of letters and digits."""
-    return F.array_compact(F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0), lambda t: F.nullif(t, F.lit(""))))
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), 0)
+
+
+def _cut(word: Column, n: int) -> Column:
+    return F.substr(word, F.lit(1), F.length(word) - n)
 
 
 def stem(word: Column) -> Column:
-    """A light English stem: plural, -ed and -ing endings."""
-    plural = F.when(word.rlike("(ss|us|is)$"), word).when(word.rlike("ies$"), F.regexp_replace(word, "ies$", "y")).when(word.rlike("(sh|ch|x|z|ss)es$"), F.regexp_replace(word, "es$", "")).otherwise(F.regexp_replace(word, "s$", ""))
-    bare = F.when((F.length(plural) > 5) & plural.rlike("[aeiou].*ing$"), F.regexp_replace(plural, "ing$", "")).when((F.length(plural) > 4) & plural.rlike("[aeiou].*ed$"), F.regexp_replace(plural, "ed$", "")).otherwise(plural)
+    """A light English stem: plural, -ed and -ing endings. Endings are compared, patterns only tried where one fits."""
+    ends = lambda *e: F.right(word, F.lit(max(map(len, e)))).isin(*e) if len({*map(len, e)}) == 1 else None
+    plural = (
+        F.when(~word.endswith("s") | ends("ss", "us", "is"), word).when(word.endswith("ies"), F.concat(_cut(word, 3), F.lit("y")))
+        .when(word.endswith("es") & (word.endswith("shes") | word.endswith("ches") | word.endswith("xes") | word.endswith("zes") | word.endswith("sses")), _cut(word, 2)).otherwise(_cut(word, 1))
+    )
+    bare = (
+        F.when(plural.endswith("ing") & (F.length(plural) > 5) & plural.rlike("[aeiou].*ing$"), _cut(plural, 3))
+        .when(plural.endswith("ed") & (F.length(plural) > 4) & plural.rlike("[aeiou].*ed$"), _cut(plural, 2)).otherwise(plural)
+    )
     return F.when(F.length(word) <= 3, word).otherwise(bare)
 
 

@@ -11,9 +11,15 @@ from ..functions import text as tx
 
 
 def inverted_index(docs: DataFrame, id_column: str, text: Column) -> DataFrame:
-    """term, id, tf, size: how often each term stands in each document, and the document's terms. Written once, it serves every query."""
-    exploded = docs.select(F.col(id_column), tx.terms(text).alias("_t")).select(id_column, F.size("_t").alias("size"), F.explode("_t").alias("term"))
-    return exploded.groupBy("term", id_column, "size").agg(F.count("*").alias("tf"))
+    """term, id, tf, size: how often each term stands in each document, and the document's terms.
+
+    Written once, it serves every query; over an index that isn't written, a search's terms are filtered before the
+    grouping, so only their rows shuffle. Words are stemmed after they are exploded, in generated code.
+    """
+    words = tx.tokens(text)
+    size = F.size(F.filter(words, lambda w: ~w.isin(*tx.STOPWORDS)))
+    exploded = docs.select(F.col(id_column), size.alias("size"), F.explode(words).alias("_w")).where(~F.col("_w").isin(*tx.STOPWORDS))
+    return exploded.select(id_column, "size", tx.stem(F.col("_w")).alias("term")).groupBy("term", id_column, "size").agg(F.count("*").alias("tf"))
 
 
 def all_terms(index: DataFrame, id_column: str, wanted: Sequence[str]) -> DataFrame:
