@@ -10,6 +10,7 @@ from ..functions import urls, values
 from ..functions.temporal import holds
 from ..operators import facets, mart, quality, relational, search
 from ..session import table as t
+from ..sources import catalogue, manifest
 
 c = F.col
 
@@ -205,9 +206,9 @@ def file_differences(s: SparkSession, d: str) -> DataFrame:
 
 
 def ordered_fingerprint(s: SparkSession, d: str) -> DataFrame:
-    """MD5 of each edition's file names in order. #67"""
-    g = t(s, d, "artifact").groupBy("edition_year").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", c("artifact_id").cast("string"), "filename"))), ",").alias("x"))
-    return g.select("edition_year", F.md5("x").alias("fingerprint"))
+    """MD5 of the units of each quantity kind in order: a fingerprint of a fixed rule table. #67"""
+    g = t(s, d, "unit_reference").groupBy("quantity_kind").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "unit_code", "unit_label"))), ",").alias("x"))
+    return g.select("quantity_kind", F.md5("x").alias("fingerprint"))
 
 
 def json_props(s: SparkSession, d: str) -> DataFrame:
@@ -312,9 +313,48 @@ def list_markers(s: SparkSession, d: str) -> DataFrame:
 
 
 def czech_order(s: SparkSession, d: str) -> DataFrame:
-    """Labels in a locale's order. #95"""
-    label = F.collate("label", "cs")
-    return t(s, d, "entity").where("label is not null").select("source_key", F.row_number().over(Window.orderBy(label, "source_key")).alias("place"))
+    """Labels in a locale's order, within their region. #95"""
+    w = Window.partitionBy("region_name").orderBy(F.collate("label", "cs"), "source_key")
+    return t(s, d, "entity").where("label is not null").select("source_key", "region_name", F.row_number().over(w).alias("place"))
+
+
+def headline_metrics(s: SparkSession, d: str) -> DataFrame:
+    """The catalogue in one row. #169"""
+    i, a = _items(s, d), F.lower("attrs")
+    return i.agg(F.count("*").alias("items"), F.count_if(a.rlike(r"data\s*[=:]\s*(api|bulk|ogc)")).alias("machine_readable"), F.count_if(a.rlike(r"kind\s*[=:]\s*official")).alias("official"), F.date_format(F.max("verified_on"), "yyyy-MM-dd").alias("last_verified"), F.count_distinct("country").alias("countries"))
+
+
+def payload_topics(s: SparkSession, d: str) -> DataFrame:
+    """Topics a country's items use, with stable ordinals. #168"""
+    used = _items(s, d).where("country = 'EU'")
+    topics, _ = catalogue.shaped(used, _items(s, d).select("topic").distinct(), _items(s, d).select("topic", c("topic").alias("related")).limit(0))
+    return topics.join(used.groupBy("topic").agg(F.count("*").alias("items")), "topic").select("topic", "ordinal", "items")
+
+
+def narrative_search(s: SparkSession, d: str) -> DataFrame:
+    """Documents with all words of a query, with their title, section, entity and region. #118"""
+    docs = t(s, d, "documents")
+    hits = search.all_terms(search.inverted_index(docs, "doc_id", c("text")), "doc_id", search.query_terms(s, "treaties on borders"))
+    return hits.join(docs.select("doc_id", "title", "section_name", "source_key"), "doc_id").join(t(s, d, "entity").select("source_key", "label", "region_name"), "source_key", "left").select("doc_id", "rank", "title", "section_name", "label", "region_name")
+
+
+def artifact_selection(s: SparkSession, d: str) -> DataFrame:
+    """Files chosen by year and family together. #3"""
+    return manifest.select(t(s, d, "artifact"), years=[2000, 2001, 2002], families=["html_pages", "json_cache"]).select("artifact_id", "dataset_code", "edition_year", "parser_family")
+
+
+def ingestion_status(s: SparkSession, d: str) -> DataFrame:
+    """Fields and entries staged of each file. #26, #131"""
+    g = t(s, d, "raw_field").groupBy("artifact_id").agg(F.count("field_value_id").alias("fields"), F.count_distinct("record_id").alias("entries"))
+    joined = t(s, d, "artifact").select("artifact_id", "parser_family").join(g, "artifact_id", "left").na.fill(0, ["fields", "entries"])
+    return joined.withColumn("staged", c("fields") > 0)
+
+
+def repaired_names(s: SparkSession, d: str) -> DataFrame:
+    """Entities without a region named by their most used title. #135"""
+    m = relational.modal(t(s, d, "documents").where("source_key is not null"), ["source_key"], "title")
+    e = t(s, d, "entity").join(m, "source_key", "left")
+    return e.select("source_key", F.when(c("region_name").isNull(), F.coalesce("title", "label")).otherwise(c("label")).alias("name"))
 
 
 _HOST = r"regexp_replace(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1)), '^www\.', '')"
@@ -339,7 +379,7 @@ _AGE = f"date_diff('day', verified_on, DATE '{AS_OF}')"
 NAMES = (
     facet_counts, coverage_grid, topic_rollup, value_counts, supra_counts, catalogue_filter, holes, related_topics, catalogue_order, page_two, url_keys, url_scrubbed, url_evidence, domain_stats, deep_domains, sanitise_classes, source_label, freshness, link_states, catalogue_faults, repeated_urls,
     fuzzy_names, fuzzy_pairs, text_search, text_top10, set_operations, customers_without, orders_returned, file_differences, ordered_fingerprint, json_props, totals_row, dim_period, dim_entity, fact_observation, entities_valid, quality_findings, quality_gate, share_sum_check, reconciliation, edition_coverage,
-    line_constraints, topic_trees, slugs, list_markers, czech_order,
+    line_constraints, topic_trees, slugs, list_markers, czech_order, headline_metrics, payload_topics, narrative_search, artifact_selection, ingestion_status, repaired_names,
 )
 QUERIES = {f.__name__: f for f in NAMES}
 _TOPIC_LIST = ", ".join(f"'{x}'" for x in TOPICS)
@@ -386,7 +426,13 @@ SQL = {
     "customers_without": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1996)",
     "orders_returned": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')",
     "file_differences": "SELECT coalesce(p.dataset_code, a.dataset_code) AS dataset_code, CASE WHEN p.dataset_code IS NULL THEN 'files only' WHEN a.dataset_code IS NULL THEN 'claims only' ELSE 'both' END AS side FROM (SELECT DISTINCT dataset_code FROM parsed_value) p FULL JOIN (SELECT DISTINCT dataset_code FROM artifact) a ON p.dataset_code = a.dataset_code",
-    "ordered_fingerprint": "SELECT edition_year, md5(string_agg(x, ',' ORDER BY x)) AS fingerprint FROM (SELECT edition_year, artifact_id || ':' || filename AS x FROM artifact) GROUP BY edition_year",
+    "ordered_fingerprint": "SELECT quantity_kind, md5(string_agg(x, ',' ORDER BY x)) AS fingerprint FROM (SELECT quantity_kind, unit_code || ':' || unit_label AS x FROM unit_reference) GROUP BY quantity_kind",
+    "headline_metrics": r"SELECT count(*) AS items, count(*) FILTER (WHERE regexp_matches(lower(attrs), 'data\s*[=:]\s*(api|bulk|ogc)')) AS machine_readable, count(*) FILTER (WHERE regexp_matches(lower(attrs), 'kind\s*[=:]\s*official')) AS official, strftime(max(verified_on), '%Y-%m-%d') AS last_verified, count(DISTINCT country) AS countries FROM catalogue_item",
+    "payload_topics": "SELECT topic, CAST(row_number() OVER (ORDER BY topic) - 1 AS INT) AS ordinal, items FROM (SELECT topic, count(*) AS items FROM catalogue_item WHERE country = 'EU' GROUP BY topic)",
+    "narrative_search": f"{_INDEX}, h AS (SELECT g.doc_id, round(sum(tf) / (1 + ln(any_value(size)::DOUBLE)), 6) AS rank FROM g JOIN n USING (doc_id) WHERE term IN ('border', 'treaty') GROUP BY g.doc_id HAVING count(*) = 2) SELECT h.doc_id, h.rank, d.title, d.section_name, e.label, e.region_name FROM h JOIN documents d USING (doc_id) LEFT JOIN entity e USING (source_key)",
+    "artifact_selection": "SELECT artifact_id, dataset_code, edition_year, parser_family FROM artifact WHERE edition_year IN (2000, 2001, 2002) AND parser_family IN ('html_pages', 'json_cache')",
+    "ingestion_status": "SELECT a.artifact_id, a.parser_family, count(r.field_value_id) AS fields, count(DISTINCT r.record_id) AS entries, count(r.field_value_id) > 0 AS staged FROM artifact a LEFT JOIN raw_field r USING (artifact_id) GROUP BY ALL",
+    "repaired_names": "WITH g AS (SELECT source_key, title, count(*) AS uses FROM documents WHERE title IS NOT NULL AND source_key IS NOT NULL GROUP BY ALL), m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_key ORDER BY uses DESC, length(title) DESC, title) AS rn FROM g) WHERE rn = 1) SELECT e.source_key, CASE WHEN e.region_name IS NULL THEN coalesce(m.title, e.label) ELSE e.label END AS name FROM entity e LEFT JOIN m USING (source_key)",
     "json_props": "SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k, count(json_extract_string(props, '$.k')) AS events FROM events GROUP BY event_type",
     "totals_row": " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS rows FROM {n}" for n in ("entity", "metric", "artifact", "raw_field", "parsed_value", "raw_line", "catalogue_item", "documents")),
     "dim_period": "SELECT CAST(year(m) * 100 + month(m) AS INT) AS period_key, CAST(year(m) AS INT) AS year, CAST(quarter(m) AS INT) AS quarter, CAST(month(m) AS INT) AS month, strftime(m, '%Y-%m') AS label FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS m FROM orders)",
