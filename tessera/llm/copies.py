@@ -99,7 +99,9 @@ class Copies:
     def members(self) -> DataFrame:
         """id_kept, id_copy: every row but the kept one of its group, with the kept id."""
         several = self.groups.where("copies > 1")
-        lookup = attach(self.survivors.select("digest", "canonical", "n"), several, "canonical", "variants", self.distinct, ["kept"]).select("digest", "kept", "n")
+        # groups were made on the full text; from here its digest stands for it, so keys are short however long texts are
+        key = F.sha2("canonical", 256).alias("key")
+        lookup = attach(self.survivors.select("digest", key, "n"), several.select(key, "variants", "kept"), "key", "variants", self.distinct, ["kept"]).select("digest", "kept", "n")
         rows = self.df.select(F.col(self.id).alias("_copy"), self._digest().alias("digest"))
         found = attach(rows, materialise(lookup), "digest", "n", self.rows, ["kept"])
         return found.where("kept <> _copy").select(F.col("kept").alias(f"{self.id}_kept"), F.col("_copy").alias(f"{self.id}_copy"))
