@@ -89,7 +89,7 @@ class Copies:
     def _digest(self) -> Column:
         """A key of the byte-identical row: SHA-256 over length-prefixed values, null apart from empty."""
         value = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("~"))
-        return F.sha2(F.concat_ws("|", *(value(c) for c in [*self.texts, *self.sets])), 256)
+        return F.unhex(F.sha2(F.concat_ws("|", *(value(c) for c in [*self.texts, *self.sets])), 256))
 
     def records(self) -> DataFrame:
         """One row per record: kept id, the texts of the kept row, copies (rows) and variants (distinct spellings)."""
@@ -100,7 +100,7 @@ class Copies:
         """id_kept, id_copy: every row but the kept one of its group, with the kept id."""
         several = self.groups.where("copies > 1")
         # groups were made on the full text; from here its digest stands for it, so keys are short however long texts are
-        key = F.sha2("canonical", 256).alias("key")
+        key = F.unhex(F.sha2("canonical", 256)).alias("key")
         lookup = attach(self.survivors.select("digest", key, "n"), several.select(key, "variants", "kept"), "key", "variants", self.distinct, ["kept"]).select("digest", "kept", "n")
         rows = self.df.select(F.col(self.id).alias("_copy"), self._digest().alias("digest"))
         found = attach(rows, materialise(lookup), "digest", "n", self.rows, ["kept"])
