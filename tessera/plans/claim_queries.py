@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import temporal, values
 from ..operators import claims, load, relational, resolve
 from ..session import table as t
+from ..streaming import events as stream_events
 
 c = F.col
 money = lambda name: F.col(name).cast("decimal(18,2)")
@@ -260,6 +261,34 @@ def bounding_box(s: SparkSession, d: str) -> DataFrame:
     return parse_coordinate_points(s, d).where("latitude between 12 and 48 and longitude between -51 and 19").select("c_custkey", "latitude", "longitude")
 
 
+def bilateral_resolved(s: SparkSession, d: str) -> DataFrame:
+    """Partners with the entity their label names, by exact name, then by name in any case; labels nobody answers to are kept. #24b, #47, #140"""
+    names = t(s, d, "supplier").select("s_suppkey", "s_name")
+    partners = parse_partners_exploded(s, d).select(c("s_suppkey").alias("subject"), "ordinal", F.when(c("ordinal") == 0, F.upper("label")).otherwise(c("label")).alias("label"), "value")
+    out = relational.tiered(partners.withColumn("key", c("label")), [("exact", names.select(c("s_name").alias("key"), c("s_suppkey").alias("object")))], "key", "object")
+    rest = out.where("tier is null").select("subject", "ordinal", "label", "value", F.lower(F.trim("label")).alias("key"))
+    folded = relational.tiered(rest, [("name", names.select(F.lower(F.trim("s_name")).alias("key"), c("s_suppkey").alias("object")))], "key", "object")
+    return out.where("tier is not null").select("subject", "ordinal", "label", "value", "tier", "object").unionByName(folded.select("subject", "ordinal", "label", "value", "tier", "object"))
+
+
+def composition_view(s: SparkSession, d: str) -> DataFrame:
+    """Members of compositions with the category they belong to and whether it is the rest. #24a, #112"""
+    m = parse_shares_exploded(s, d).withColumn("category", values.category_code(c("label")))
+    return m.select("c_custkey", "ordinal", "category", values.is_residual(c("category")).alias("is_residual"), "share_percent")
+
+
+def events_tumbling(s: SparkSession, d: str) -> DataFrame:
+    """Events and value per hour and type: the batch form of the stream. Extension, §2.11"""
+    e = t(s, d, "events").withColumn("ts", c("ts").cast("timestamp"))
+    return stream_events.tumbling(e).select(F.date_format("window_start", "yyyy-MM-dd HH").alias("hour"), "event_type", "events", c("total").cast("double").alias("total"))
+
+
+def events_sessions(s: SparkSession, d: str) -> DataFrame:
+    """Sessions of each user, parted by half an hour of silence. Extension, §2.11"""
+    e = t(s, d, "events").withColumn("ts", c("ts").cast("timestamp"))
+    return stream_events.sessions(e).groupBy("user_id").agg(F.count("*").alias("sessions"), F.sum("events").alias("events"))
+
+
 _COORD = """SELECT c_custkey, c_custkey % 95 + (c_custkey % 59) / 60.0::DOUBLE AS y, (c_custkey % 179 + (c_custkey % 59) / 60.0::DOUBLE) * CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE -1 END AS x FROM customer"""
 _CASES = """(VALUES (0,'NA','unparsed','not_reported',NULL,NULL,false,NULL,NULL,NULL),(1,'NEGL%','unparsed','negligible',NULL,NULL,false,NULL,NULL,NULL),(2,'less than 5%','parsed_partial',NULL,NULL,5.0,true,NULL,'less_than',NULL),
 (3,'15-20% (1991 est.)','parsed_partial',NULL,NULL,15.0,true,1991,NULL,NULL),(4,'l,600','unparsed',NULL,'no_number_found',NULL,false,NULL,NULL,NULL),(5,'data are in 2010 US dollars','unparsed',NULL,'explanatory_note_not_a_value',NULL,false,2010,NULL,NULL),
@@ -270,7 +299,7 @@ _FIELDS = "(SELECT *, row_number() OVER (PARTITION BY record_id, section_name, f
 NAMES = (
     source_claims, claim_conflicts, published_claims, latest_by_period, latest_by_edition, entity_profile, observation_history, yoy_change, thirty_by_thirty, rank_top20, provenance_walk, dataset_coverage, field_statistics, field_evolution, modal_label, section_ordinals,
     entity_resolve, resolution_labels, unresolved_entities, temporal_overlaps, period_precision, latest_stage, staged_once, merge_registry, load_observations, load_compositions, load_bilaterals, load_rejected, load_narratives, parse_value_scaled, parse_value_cases,
-    parse_shares_exploded, parse_partners_exploded, parse_coordinate_points, bounding_box,
+    parse_shares_exploded, parse_partners_exploded, parse_coordinate_points, bounding_box, bilateral_resolved, composition_view, events_tumbling, events_sessions,
 )
 QUERIES = {f.__name__: f for f in NAMES}
 SQL = {
@@ -306,6 +335,10 @@ SELECT dataset_code, source_key, CASE WHEN codes > 1 OR codes = 0 AND names > 1
     "parse_value_cases": f"SELECT raw, status, missing_reason, failure_code, CAST(value AS DOUBLE) AS value, is_percent, CAST(reference_year AS INT) AS reference_year, inequality, unit_hint, count(*) AS rows FROM orders JOIN {_CASES} ON o_orderkey % 10 = k GROUP BY ALL",
     "parse_shares_exploded": "SELECT c_custkey, 2001::INT AS reference_year, ordinal::INT AS ordinal, label, share_percent FROM customer, LATERAL (VALUES (0, 'Alpha', (c_custkey % 60)::DOUBLE), (1, 'Beta', NULL), (2, 'Lower', (c_custkey % 40) + 0.5::DOUBLE), (3, 'other 1,200', NULL)) AS x(ordinal, label, share_percent)",
     "parse_partners_exploded": "SELECT s_suppkey, ordinal::INT AS ordinal, label, value, unit_hint, is_percent FROM supplier, LATERAL (VALUES (0, s_name, 1234::DOUBLE, 'km', false), (1, 'Land of ' || s_suppkey || 'x', (s_suppkey % 97) + 0.5::DOUBLE, NULL, true), (3, 'Far isle', NULL, NULL, false)) AS x(ordinal, label, value, unit_hint, is_percent)",
+    "bilateral_resolved": "SELECT s_suppkey AS subject, ordinal::INT AS ordinal, label, value, tier, object FROM supplier, LATERAL (VALUES (0, upper(s_name), 1234::DOUBLE, 'name', s_suppkey), (1, 'Land of ' || s_suppkey || 'x', (s_suppkey % 97) + 0.5::DOUBLE, NULL, NULL), (3, 'Far isle', NULL, NULL, NULL)) AS x(ordinal, label, value, tier, object)",
+    "composition_view": "SELECT c_custkey, ordinal::INT AS ordinal, category, false AS is_residual, share_percent FROM customer, LATERAL (VALUES (0, 'alpha', (c_custkey % 60)::DOUBLE), (1, 'beta', NULL), (2, 'lower', (c_custkey % 40) + 0.5::DOUBLE), (3, 'other 1,200', NULL)) AS x(ordinal, category, share_percent)",
+    "events_tumbling": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total FROM events GROUP BY ALL",
+    "events_sessions": "SELECT user_id, CAST(sum(n) AS BIGINT) AS sessions, count(*) AS events FROM (SELECT user_id, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS n FROM events) GROUP BY user_id",
     "parse_coordinate_points": f"SELECT c_custkey, CASE WHEN y <= 90 THEN round(y, 6) END AS latitude, CASE WHEN y <= 90 THEN round(x, 6) END AS longitude, CASE WHEN y > 90 THEN 'out_of_range' END AS failure_code FROM ({_COORD})",
     "bounding_box": f"SELECT c_custkey, round(y, 6) AS latitude, round(x, 6) AS longitude FROM ({_COORD}) WHERE round(y, 6) BETWEEN 12 AND 48 AND round(x, 6) BETWEEN -51 AND 19",
 }
