@@ -100,8 +100,8 @@ class Drift:
     def __init__(self, values: DataFrame):
         self.values = values
         self.footer = materialise(numbered(footers(values)))
-        self.paths = lifespans(self.footer, ["dataset_code", "path"])
-        self.kinds = lifespans(self.footer.where("kind is not null"), ["dataset_code", "path", "kind"])
+        self.paths = materialise(lifespans(self.footer, ["dataset_code", "path"]))
+        self.kinds = materialise(lifespans(self.footer.where("kind is not null"), ["dataset_code", "path", "kind"]))
         self.starts = self.paths.where("first > 1").select("dataset_code", F.col("first").alias("nth"), F.col("path").alias("new_path"))
         self.ends = self.paths.where("until < last").select("dataset_code", (F.col("until") + 1).alias("nth"), F.col("path").alias("old_path"))
         self._renames: DataFrame | None = None
