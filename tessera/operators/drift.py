@@ -10,7 +10,8 @@ casts of the consistent table come.
 
 Defined results: a null path component reads as empty; null, blank and absence texts aren't stated, so they neither
 have a class nor count for a rename; a path without stated values has no class; equal class counts give the class
-named first in CLASSES. Rows staged twice count once. A data set with one file has no changes.
+named first in CLASSES. Rows staged twice count once. A data set with one file has no changes. Files without data set or
+edition belong to none and are left out; other columns, whatever their names, are never read.
 """
 
 from __future__ import annotations

@@ -275,7 +275,8 @@ EXPORT_LAYOUT = (
 def export_lines(raw_line: DataFrame, artifact: DataFrame) -> DataFrame:
     """The record lines of the exports (line_no > 1) with the delimiter of their file; a line without file gets a comma."""
     files = artifact.groupBy("artifact_id").agg(F.max("delimiter").alias("delimiter"))
-    return raw_line.where("line_no > 1").join(files, "artifact_id", "left")
+    lines = raw_line.where("line_no > 1").select("raw_line_id", "artifact_id", "line_no", "line_text")
+    return lines.join(files, "artifact_id", "left")
 
 
 def export_outcome(raw_line: DataFrame, artifact: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -72,17 +72,20 @@ def _quoted(text: str, at: int) -> tuple[str, int] | None:
         return (inner.replace('""', '"') if opening == '"' else inner), q + 1
 
 
-def _bracketed(text: str, at: int) -> int | None:
-    """End of the bracketed alternative at `at`, or None to backtrack."""
-    depth, opening, closing = 0, text[at], BRACKETS[text[at]]
-    for k in range(at, len(text)):
-        if text[k] == opening:
-            depth += 1
-        elif text[k] == closing:
-            depth -= 1
-            if not depth:
-                return k + 1
-    return None
+_BRACKET = re.compile(r"[()\[\]]")
+
+
+def _brackets(text: str) -> dict[int, int]:
+    """Where the bracket opened at each position ends; one that never closes isn't there. One pass for the whole text."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {c: [] for c in BRACKETS.values()}
+    for m in _BRACKET.finditer(text):
+        c = m.group()
+        if c in BRACKETS:
+            opened[BRACKETS[c]].append(m.start())
+        elif opened[c]:
+            ends[opened[c].pop()] = m.end()
+    return ends
 
 
 def _separator(text: str, at: int) -> int | None:
@@ -108,13 +111,16 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
         return []
     found: list[Member] = []
     at, end = 0, len(text)
+    brackets = _brackets(text) if "(" in text or "[" in text else {}
+    hopeless: set[str] = set()  # quotes that close nowhere in the rest of the text
+    size = 0
     bare: list[str] = []
     notes: list[str] = []
     quoted: str | None = None
     flag: str | None = None
 
     def finish() -> None:
-        nonlocal bare, notes, quoted, flag
+        nonlocal bare, notes, quoted, flag, size
         rest = "".join(bare).strip()
         if rest.lower().startswith("and ") and (found or quoted is None):
             rest = rest[4:].lstrip()
@@ -127,11 +133,12 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
         label = quoted.strip() if quoted is not None else " ".join(rest.split())
         if label:
             found.append(Member(len(found) + 1, label, " ".join(notes) or None, amount, flag))
-        bare, notes, quoted, flag = [], [], None, None
+        bare, notes, quoted, flag, size = [], [], None, None, 0
 
     while at < end:
         if m := _PLAIN.match(text, at):
             bare.append(m.group())
+            size += len(m.group())
             at = m.end()
             continue
         c = text[at]
@@ -140,19 +147,22 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
             at = to
             continue
         if c in QUOTES:
-            opens = quoted is None and "".join(bare).strip().lower() in ("", "and")
-            if opens and (q := _quoted(text, at)) is not None:
+            opens = quoted is None and size < 16 and "".join(bare).strip().lower() in ("", "and")
+            if opens and c not in hopeless and (q := _quoted(text, at)) is not None:
                 quoted, at = q
                 continue
+            if opens and text.find(QUOTES[c], at + 1) < 0:
+                hopeless.add(c)
             if opens:
                 flag = "unbalanced_quote"
         elif c in BRACKETS:
-            if (to := _bracketed(text, at)) is not None:
+            if (to := brackets.get(at)) is not None:
                 notes.append(text[at + 1 : to - 1].strip())
                 at = to
                 continue
             flag = "unbalanced_bracket"
         bare.append(c)
+        size += 1
         at += 1
     finish()
     return found

@@ -98,7 +98,7 @@ def test_split_with_clashing_and_missing(spark):
     rows = [(1, 1, 1, "header", None, "x"), (2, 1, 2, line(GOOD, ";"), None, "x"), (3, 1, 3, None, None, None), (4, 9, 2, line(GOOD, ","), None, "x"), (5, None, 2, "", None, None), (5, None, 2, "", None, None)]
     lines = spark.createDataFrame(rows, schema)
     files = spark.createDataFrame([(1, ";", 2000)], "artifact_id long, delimiter string, edition_year int")
-    good, bad = fr.export_outcome(lines, files)
+    good, bad = fr.export_outcome(lines.withColumn("delimiter", F.lit("#")).withColumn("edits", F.lit(1)), files)
     assert {r.raw_line_id: str(r.amount) for r in good.collect()} == {2: "1234.5000000000", 4: "1234.5000000000"}
     assert sorted((r.raw_line_id, r.failure_code) for r in bad.collect()) == [(3, "wrong_column_count"), (5, "wrong_column_count"), (5, "wrong_column_count")]
     none_good, none_bad = fr.export_outcome(lines.where("false"), files)

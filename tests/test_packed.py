@@ -66,3 +66,12 @@ def test_columns(spark):
     full = packed.explode_members(df.drop("list_position"), ["field_value_id"], "raw_text")
     assert full.count() == 5 and full.where("amount = '5%'").count() == 2
     assert packed.explode_labels(df.where("false").drop("list_position"), ["field_value_id"], "raw_text").count() == 0
+
+
+def test_hostile_texts_take_linear_time():
+    import time
+
+    for part in ("(a ", "[a ", '"a ', "'a ", "«a ", "(“", "a and ", "1,234 "):
+        begun = time.perf_counter()
+        members(part * 30_000)
+        assert time.perf_counter() - begun < 10, part
