@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,25 @@ def session(app: str = "tessera", master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a session, once: they needn't have it installed or on their path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tessera-code-"), "tessera_code.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(here):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """Parquet table `name` of a data directory; only the columns used later are read."""
     return spark.read.parquet(f"{directory}/{name}.parquet")
