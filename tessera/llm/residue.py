@@ -9,10 +9,12 @@ Evidence on a text, found in one pass:
 Stock sentences are looked up together (Aho-Corasick). A sentence inside quotation marks is reported speech and
 doesn't count; short ones only count where a sentence or line begins and ends.
 
-Evidence across texts, for low-information bodies (few different terms) the first kind doesn't settle: the body with
-numbers and reference codes taken out is compared with the address (source key and section) and title; a body that
-shares no term with them, came under several different titles and from several keys, and uses the words of server
-responses is a response served in place of content.
+Evidence across texts, for every low-information body (few different terms), whatever its length and whatever the first
+kind found: bodies are compared with numbers and reference codes taken out. A body is a response served in place of
+content if most copies share no term with their address (source key and section) or title, no address (title and key,
+a null is one of each) holds more than half of the copies, and its terms are rarer in the ordinary texts of the hosts
+(sources) that served it than in their low-information ones. Words of server responses and stock sentences add to that
+score. All of it is relative to the number of copies and texts.
 
 Null, empty and blank texts are no cases. Control strings of tokenizers, odd characters and foreign scripts are no
 evidence. Texts are read whole. Repeated rows are judged alike.
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from hashlib import sha256
 from operator import eq
 
 import ahocorasick
@@ -61,7 +64,7 @@ PSEUDO_LATIN = frozenset(
     "lorem ipsum dolor sit amet consectetur consectetuer adipiscing adipisicing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit anim laborum "
     "dolan sitra amera consor adipi elitus sedu eiusma tempora incid labori magnat venia nostru".split()
 )
-#: Words of server responses, one of which the cross-text evidence needs.
+#: Words of server responses, a signal of the cross-text evidence.
 RESPONSE_WORDS = frozenset(
     "page error server request session browser javascript script scripts scripting cookies access permission denied expired reload loading administrator reference database connection unavailable maintenance seite fehler anfrage sitzung zugriff serveur erreur navigateur requête página servidor solicitud navegador acceso sesión".split()
 )
@@ -180,39 +183,96 @@ def fingerprint(text: str) -> str:
     return " ".join(_REFERENCE.sub("#", text.lower()).split())
 
 
-JUDGED = T.StructType([T.StructField("kinds", T.ArrayType(T.StringType())), T.StructField("body", T.StringType())])
+JUDGED = T.StructType([
+    T.StructField("kinds", T.ArrayType(T.StringType())), T.StructField("body_key", T.StringType()), T.StructField("terms", T.ArrayType(T.StringType())),
+    T.StructField("apart", T.IntegerType()), T.StructField("signals", T.IntegerType()),
+])
+#: Copies' worth of texts by which a host's term rates lean on those of all hosts.
+PRIOR = 100
+#: Terms of repeated bodies up to which they are broadcast.
+MOST_BROADCAST = 500_000
+
+
+def few_terms(text: str, most_terms: int) -> set[str] | None:
+    """The different terms of a text, None beyond `most_terms`; reading stops there."""
+    terms: set[str] = set()
+    for m in _WORD.finditer(text):
+        terms.add(m[0].lower())
+        if len(terms) > most_terms:
+            return None
+    return terms
 
 
 def judged(documents: DataFrame, most_terms: int = 25) -> DataFrame:
-    """documents with _e: kinds of residue and, for bodies without any that hold few terms, apart from the title, and response words, the fingerprint."""
+    """documents with _e: kinds of residue and, for bodies of few terms, the digest and terms of the fingerprint, whether it is apart from its address and title, and the number of signals of a response."""
 
     @F.pandas_udf(JUDGED)
     def judge(texts: pd.Series, address: pd.Series) -> pd.DataFrame:
         out = []
         for t, a in zip(texts, address):
-            kinds, body = evidence(t if isinstance(t, str) else None), None
-            if not kinds and isinstance(t, str) and len(t) < 40 * most_terms:
-                terms = set(_WORD.findall(t.lower()))
-                if 0 < len(terms) <= most_terms and terms & RESPONSE_WORDS and not terms & {w for w in _WORD.findall(a.lower()) if len(w) > 3}:
-                    body = fingerprint(t)
-            out.append((kinds, body))
-        return pd.DataFrame(out, columns=["kinds", "body"])
+            kinds, body = evidence(t if isinstance(t, str) else None), (None, None, None, None)
+            if isinstance(t, str) and (terms := few_terms(t, most_terms)):
+                plain = fingerprint(t)
+                apart = not terms & {w for w in _WORD.findall(a.lower()) if len(w) > 3}
+                signals = bool(terms & RESPONSE_WORDS) + bool({"error", "notice"} & set(kinds))
+                body = sha256(plain.encode("utf-8", "replace")).hexdigest(), sorted(set(_WORD.findall(plain))), int(apart), signals
+            out.append((kinds, *body))
+        return pd.DataFrame(out, columns=["kinds", "body_key", "terms", "apart", "signals"]).astype({"apart": "Int32", "signals": "Int32"})
 
     address = F.concat_ws(" ", "source_key", "section_name", "title")
     # marked as not deterministic so that filters on the verdict don't judge a second time
     return documents.withColumn("_e", judge.asNondeterministic()(F.col("text"), address))
 
 
-def flagged(documents: DataFrame, least_titles: int = 3, least_keys: int = 2) -> DataFrame:
+def _rates(texts: DataFrame, wanted: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Of texts (host, terms): (host, n_<name>), and (host, term, c_<name>) of the wanted terms, read in one pass."""
+    whole = F.array_append(F.array_remove("terms", ""), F.lit(""))  # the empty term counts the texts
+    counts = materialise(texts.select("host", F.explode(whole).alias("term")).join(wanted, "term", "left_semi").groupBy("host", "term").agg(F.count("*").alias(f"c_{name}")))
+    return counts.where("term = ''").select("host", F.col(f"c_{name}").alias(f"n_{name}")), counts
+
+
+def served(documents: DataFrame, low: DataFrame, most_terms: int = 25, weight: float = 0.5) -> DataFrame:
+    """body_key of the bodies among the low-information rows `low` that were served in place of content.
+
+    The score of a body is the mean over its terms and copies of ln(rate in ordinary texts / rate in low-information
+    texts of its host), less `weight` for each signal; below 0 it is a response. Ordinary texts are read a second time,
+    in generated code, and only for the terms of repeated bodies.
+    """
+    per = low.groupBy("body_key", "title", "source_key").agg(F.count("*").alias("n"), F.sum("apart").alias("apart"), F.max("signals").alias("signals"), F.min("terms").alias("terms"))
+    bodies = per.groupBy("body_key").agg(F.sum("n").alias("copies"), F.max("n").alias("most"), F.sum("apart").alias("apart"), F.max("signals").alias("signals"), F.min("terms").alias("terms"))
+    repeated = materialise(bodies.where("2 * most <= copies and 2 * apart >= copies and size(terms) > 0"))
+    wanted = materialise(repeated.select(F.explode("terms").alias("term")).unionByName(documents.sparkSession.createDataFrame([("",)], "term string")).distinct())
+    if wanted.count() <= MOST_BROADCAST:  # so that only counts shuffle
+        wanted = F.broadcast(wanted)
+    read = documents.select(F.col("source").alias("host"), F.array_remove(F.array_distinct(F.split(F.lower("text"), r"(?U)\W+")), "").alias("terms")).where(F.size("terms") > most_terms)
+    sizes, counts = {}, {}
+    for name, texts in (("ordinary", read), ("low", low.select("host", "terms"))):
+        sizes[name], counts[name] = _rates(texts.withColumn("host", F.coalesce("host", F.lit(""))), wanted, name)
+    at = low.withColumn("host", F.coalesce("host", F.lit(""))).groupBy("body_key", "host").agg(F.count("*").alias("n"))
+    pairs = at.join(repeated.select("body_key", "copies", "signals", "terms"), "body_key").withColumn("words", F.size("terms")).withColumn("term", F.explode("terms")).drop("terms")
+    ratio = F.lit(0.0)
+    for name, sign in (("ordinary", 1), ("low", -1)):
+        s, c = sizes[name], counts[name]
+        whole = c.groupBy("term").agg(F.sum(f"c_{name}").alias(f"all_{name}"))
+        pairs = pairs.join(s, "host", "left").join(c, ["host", "term"], "left").join(whole, "term", "left").crossJoin(F.broadcast(s.agg(F.sum(f"n_{name}").alias(f"total_{name}"))))  # one row
+        n = lambda x: F.coalesce(F.col(f"{x}_{name}"), F.lit(0))  # noqa: B023, E731
+        overall = (n("all") + 0.5) / (n("total") + 1)
+        ratio = ratio + sign * F.log((n("c") + PRIOR * overall) / (n("n") + PRIOR))
+    scored = pairs.groupBy("body_key", "signals").agg(F.sum(F.col("n") / F.col("copies") / F.col("words") * ratio).alias("score"))
+    return scored.where(F.col("score") - weight * F.col("signals") < 0).select("body_key")
+
+
+def flagged(documents: DataFrame) -> DataFrame:
     """doc_id, kinds of each document with residue. A body judged across texts has the kind ``served_response``.
 
-    Texts are judged once; the few rows with evidence go to a narrow table in the shared folder that the rest reads.
-    Bodies are counted per (body, title, key) first, so a body served a billion times shuffles as few rows.
+    Texts are judged once; the rows with evidence or a low-information body go to a narrow table in the shared folder
+    that the rest reads. Bodies are counted per (body, title, key) first, so a body served a billion times shuffles as
+    few rows.
     """
-    held = judged(documents).select("doc_id", "title", "source_key", "_e.kinds", "_e.body")
-    seen = materialise(held.where("size(kinds) > 0 or body is not null"))
-    direct = seen.where(F.size("kinds") > 0).select("doc_id", "kinds")
-    open_ = seen.where(F.col("body").isNotNull()).withColumn("body_key", F.sha2("body", 256))
-    served = open_.groupBy("body_key", "title", "source_key").agg(F.lit(1)).groupBy("body_key").agg(F.count_distinct("title").alias("titles"), F.count_distinct("source_key").alias("keys"))
-    copies = open_.join(served.where((F.col("titles") >= least_titles) & (F.col("keys") >= least_keys)).select("body_key"), "body_key", "left_semi")
-    return direct.unionByName(copies.select("doc_id", F.array(F.lit("served_response")).alias("kinds")))
+    if "source" not in documents.columns:
+        documents = documents.withColumn("source", F.lit(None).cast("string"))
+    held = judged(documents).select("doc_id", "title", "source_key", F.col("source").alias("host"), "_e.*")
+    seen = materialise(held.where("size(kinds) > 0 or body_key is not null"))
+    found = served(documents, seen.where("body_key is not null")).withColumn("_served", F.lit(True))
+    kinds = F.when(F.col("_served"), F.array_append("kinds", F.lit("served_response"))).otherwise(F.col("kinds"))
+    return seen.join(found, "body_key", "left").select("doc_id", kinds.alias("kinds")).where(F.size("kinds") > 0)

@@ -40,3 +40,17 @@ def test_across_texts(spark):
     got = sorted((r.doc_id, r.kinds[0]) for r in residue.flagged(df).collect())
     assert got == [(k, "served_response") for k in range(6)] + [(103, "placeholder"), (103, "placeholder")]
     assert residue.flagged(df.where("false")).count() == 0
+
+
+def test_across_texts_without_words_of_responses(spark):
+    """A body is found by its terms' rates in its host's texts, whatever its length; repeated content isn't."""
+    schema = "doc_id long, text string, title string, source_key string, section_name string, source string"
+    words = ["barley", "ferry", "port", "council", "river", "coast", "debt", "output", "rain", "south", "tea", "wool", "dam", "school", "road", "farm", "salt", "timber", "rail", "border", "treaty", "census", "year", "people", "live", "near", "the", "of"]
+    ordinary = [(k, " ".join(words[k % 28 :] + words[: k % 28]) + ".", f"T{k}", f"k{k}", None, "archive") for k in range(300)]
+    served = [(1000 + k, "Nothing lives at this place.", None if k % 2 else f"T{k}", f"k{k}", "Economy", "archive") for k in range(4)]
+    long = [(2000 + k, "Come back soon. " * 200, None, f"k{k}", "Economy", None) for k in range(4)]
+    content = [(3000 + k, "The people of the south live near the coast.", f"T{k}", f"k{k}", "Economy", "archive") for k in range(4)]
+    once = [(4000 + k, "Gone fishing until dusk.", "T", "k", "Economy", "archive") for k in range(4)]
+    df = spark.createDataFrame(ordinary + served + long + content + once, schema)
+    assert residue.evidence(served[0][1]) == residue.evidence(long[0][1]) == []
+    assert sorted(r.doc_id for r in residue.flagged(df).collect()) == [r[0] for r in served + long]
