@@ -50,9 +50,9 @@ def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").alias("n_tokens"), (bpe.decode_column(F.col("ids")) == F.col("text")).alias("same"))
 
 
-def _mixture(spark: SparkSession, d: str) -> mixture.Mixture:
-    # the largest mixture in which every source with records has its share exactly; a fixed size is the caller's choice
-    return mixture.Mixture(mixture.sized(table(spark, d, "documents")), table(spark, d, "mix_target"), total="exact")
+def _mixture(spark: SparkSession, d: str, total: float | str | None = "exact") -> mixture.Mixture:
+    # "exact": the largest mixture in which every source with records has its share exactly; None: the size of the corpus
+    return mixture.Mixture(mixture.sized(table(spark, d, "documents")), table(spark, d, "mix_target"), total=total)
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -65,6 +65,16 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).shares()
 
 
+def p8_mixture_corpus(spark: SparkSession, d: str) -> DataFrame:
+    """As p8_mixture at the size of the corpus: shares are met as nearly as max_repeats allows."""
+    return _mixture(spark, d, None).chosen.withColumnRenamed("id", "doc_id")
+
+
+def p8_shares_corpus(spark: SparkSession, d: str) -> DataFrame:
+    """Target, given and reached size of each source at the size of the corpus."""
+    return _mixture(spark, d, None).shares()
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """doc_id of each document with residue."""
     return residue.flagged(table(spark, d, "documents")).select("doc_id")
@@ -83,7 +93,7 @@ def p9_kept(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found, "p2_clean": p2_clean, "p6_found": p6_found, "p6_records": p6_records, "p7_ids": p7_ids, "p7_roundtrip": p7_roundtrip,
-    "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p9_found": p9_found, "p9_reasons": p9_reasons, "p9_kept": p9_kept,
+    "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p8_mixture_corpus": p8_mixture_corpus, "p8_shares_corpus": p8_shares_corpus, "p9_found": p9_found, "p9_reasons": p9_reasons, "p9_kept": p9_kept,
 }
 
 

@@ -31,3 +31,13 @@ def test_mixture_reaches_shares(spark, small_data):
     for r in report:
         assert abs(r.reached_tokens - r.given_tokens) <= 700 and r.most_copies <= r.max_repeats
         assert r.given_tokens / sum(x.given_tokens for x in report) == pytest.approx(r.target_share / total)
+
+
+def test_mixture_of_corpus_size(spark, small_data):
+    """A scarce source binds at max_repeats; it doesn't scale the mixture down."""
+    report = [r for r in QUERIES["p8_shares_corpus"](spark, small_data).collect() if r.tokens]
+    assert sum(r.given_tokens for r in report) == pytest.approx(sum(r.tokens for r in report))
+    scarce = min(report, key=lambda r: r.tokens * r.max_repeats / r.target_share)
+    assert scarce.reached_tokens == scarce.tokens * scarce.max_repeats and scarce.most_copies == scarce.max_repeats
+    picked = QUERIES["p8_mixture_corpus"](spark, small_data).selectExpr("sum(n_tokens * copies)").first()[0]
+    assert picked == sum(r.reached_tokens for r in report) > QUERIES["p8_shares"](spark, small_data).agg({"reached_tokens": "sum"}).first()[0]
