@@ -73,3 +73,14 @@ def test_other_rules(spark):
     assert sorted(map(tuple, constraints.check_bilaterals(edges).collect())) == [("not_reflexive", "1"), ("object_identified", "2")]
     members = spark.createDataFrame([(1, 0, 50.0, None), (1, 0, 120.0, None), (2, 0, None, None)], "composition_id int, ordinal int, share_percent double, amount double")
     assert sorted(map(tuple, constraints.check_compositions(members).collect())) == [("ordinal_unique", "1"), ("quantity_present", "2"), ("share_in_range", "1")]
+
+
+def test_texts_are_loaded_whole(spark):
+    from tessera.operators.load import load
+
+    story, bad = "Tea is sold. " * 1000, "no number here " * 500
+    fields = spark.createDataFrame([(1, "aa", "Background", story, 2000), (2, "aa", "Area", bad, 2000)], "field_value_id long, source_key string, field_name string, raw_text string, edition_year int")
+    rules = spark.createDataFrame([("Area", "observation", "area", 0)], "field_name string, target_kind string, metric string, position int")
+    whole, short = load(fields, rules), load(fields, rules, cut=True)
+    assert whole.narratives.first().text == story and len(short.narratives.first().text) == 4000
+    assert whole.rejected.first().raw_input == bad and len(short.rejected.first().raw_input) == 2000
