@@ -59,15 +59,23 @@ def kind_of(text: Column) -> Column:
     )
 
 
+def day_of(text: Column) -> Column:
+    """The date of a bare text of the class date. 5.3.2020 has the day first, 5/3/2020 the month, unless that is beyond 12."""
+    words = F.initcap(F.regexp_replace(F.regexp_replace(text, "[.,]", ""), "(?i)\\bsept\\b", "Sep"))
+    named = (F.try_to_timestamp(words, F.lit(f)) for f in ("d MMMM yyyy", "d MMM yyyy", "MMMM d yyyy", "MMM d yyyy"))
+    plain = (F.try_to_timestamp(text, F.lit(f)) for f in ("yyyy-MM-dd", "d.M.yyyy", "M/d/yyyy", "d/M/yyyy"))
+    return F.coalesce(*plain, *named).cast("date")
+
+
 def path_of(*parts: Column) -> Column:
     """The components of a path joined by |, null as empty."""
     return F.concat_ws("|", *(F.coalesce(p, F.lit("")) for p in parts))
 
 
 def staged_values(raw_field: DataFrame, artifact: DataFrame) -> DataFrame:
-    """dataset_code, edition_year, source_key, path, raw_text of the edition files, rows staged twice included."""
+    """dataset_code, edition_year, source_key, path, raw_text of the edition files, with record_id and ordinal where there are any, rows staged twice included."""
     files = artifact.where("parser_family <> 'delimited_export' or parser_family is null").where("dataset_code is not null and edition_year is not null").select("artifact_id", "dataset_code", "edition_year").distinct()
-    values = raw_field.select("artifact_id", "source_key", path_of(F.col("section_name"), F.col("field_name"), F.col("subfield_name")).alias("path"), "raw_text")
+    values = raw_field.select("artifact_id", "source_key", path_of(F.col("section_name"), F.col("field_name"), F.col("subfield_name")).alias("path"), "raw_text", *(c for c in ("record_id", "ordinal") if c in raw_field.columns))
     return values.join(files, "artifact_id").drop("artifact_id")
 
 
@@ -178,9 +186,11 @@ class Drift:
             if not moved:
                 return chain.drop("_end")
 
-    def consistent(self) -> DataFrame:
+    def consistent(self, absences: bool = False) -> DataFrame:
         """Every stated value under its canonical path, cast to the one type that holds all classes the path ever had.
 
+        With `absences`, rows that state none are kept, their value columns null. record_id and ordinal are carried.
+
         value_type: whole and decimal give decimal; percentages alone give percentage, dates alone date, a mixture text.
         value_number holds numbers and percentages (as percent), value_date dates, value_text every value.
         """
@@ -193,9 +203,11 @@ class Drift:
         fields = named.join(types, ["dataset_code", "canonical_path"]).select("dataset_code", "edition_year", "path", "canonical_path", "value_type")
         text = bare(F.col("value_text"))
         number = F.regexp_replace(F.regexp_replace(text, "[,  ']|(?i)\\s*(%|percent|per cent)$", ""), "−", "-").try_cast("decimal(38,10)")
-        day = F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in ("yyyy-MM-dd", "d MMMM yyyy", "d MMM yyyy", "MMM d, yyyy", "MMMM d, yyyy"))).cast("date")
-        rows = self.values.where(stated(F.col("raw_text"))).distinct().withColumnRenamed("raw_text", "value_text").join(fields, ["dataset_code", "edition_year", "path"])
+        day = day_of(text)
+        has = stated(F.col("raw_text"))
+        rows = (self.values.withColumn("raw_text", F.when(has, F.col("raw_text"))) if absences else self.values.where(has)).distinct().withColumnRenamed("raw_text", "value_text").join(fields, ["dataset_code", "edition_year", "path"])
+        kept = [c for c in ("record_id", "ordinal") if c in rows.columns]
         return rows.select(
-            "dataset_code", "edition_year", "source_key", F.col("canonical_path").alias("path"), F.col("path").alias("source_path"), "value_type", "value_text",
+            "dataset_code", "edition_year", "source_key", *kept, F.col("canonical_path").alias("path"), F.col("path").alias("source_path"), "value_type", "value_text",
             F.when(F.col("value_type").isin("whole", "decimal", "percentage"), number).alias("value_number"), F.when(F.col("value_type") == "date", day).alias("value_date"),
         )

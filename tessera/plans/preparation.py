@@ -41,7 +41,7 @@ def p3_lifespans(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_table(spark: SparkSession, d: str) -> DataFrame:
     """All editions in one consistent, typed table."""
-    return _drift(spark, d).consistent()
+    return _drift(spark, d).consistent(absences=True)
 
 
 def _claims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -65,3 +65,16 @@ def test_classes(spark):
     cases = {"12": "whole", "1,234": "whole", "-5": "whole", "1.5": "decimal", "12 %": "percentage", "-1.94%": "percentage", "1941-04-14": "date", "20 June 1941": "date", "Aug 13, 1931": "date", "May 1931": "text", "House of X": "text", "58,946 (revised)": "whole", "9.303 % (est.)": "percentage"}
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, want string").select("t", "want", drift.kind_of(drift.bare(F.col("t"))).alias("got"))
     assert df.where("want <> got").collect() == []
+
+
+def test_consistent_table_is_whole(spark):
+    """Absences and equal texts at several ordinals are rows; every form of a date is read."""
+    files = spark.createDataFrame([(1, "d", 2000, "text")], "artifact_id long, dataset_code string, edition_year int, parser_family string")
+    dates = ["2020-03-05", "5 March 2020", "5. Mar. 2020", "March 5 2020", "Mar 5, 2020", "MARCH 5, 2020", "5.3.2020", "3/5/2020", "05.03.2020"]
+    rows = [(1, 10, "aa", "S", "Day", None, k, x) for k, x in enumerate([*dates, "13/5/2020", "5 Sept 2020"])] + [(1, 10, "aa", "S", "Same", None, k, "7") for k in (0, 1, 1)] + [(1, 10, "aa", "S", "Same", None, 2, "n/a")]
+    values = drift.staged_values(spark.createDataFrame(rows, "artifact_id long, record_id long, source_key string, section_name string, field_name string, subfield_name string, ordinal int, raw_text string"), files)
+    got = drift.Drift(values).consistent(absences=True).collect()
+    days = {r.ordinal: str(r.value_date) for r in got if r.path == "S|Day|"}
+    assert [days[k] for k in range(11)] == ["2020-03-05"] * 9 + ["2020-05-13", "2020-09-05"]
+    assert sorted((r.record_id, r.ordinal, r.value_text) for r in got if r.path == "S|Same|" and r.ordinal < 2) == [(10, 0, "7"), (10, 1, "7")]
+    assert [(r.value_text, r.value_number) for r in got if r.path == "S|Same|" and r.ordinal == 2] == [(None, None)]
