@@ -1,132 +1,70 @@
 """Template residue and error-page text in documents.
 
-Evidence on a text, found in one pass:
-
-* placeholders: tokens of template languages, bracketed instructions, what a failed filling leaves;
-* filler: pseudo-Latin, runs of repeated words, stock sentences that stand for content;
-* responses: stock sentences of error pages and of notices that scripts or browser support are needed.
-
-Stock sentences are looked up together (Aho-Corasick). A sentence inside quotation marks is reported speech and
-doesn't count; short ones only count where a sentence or line begins and ends.
-
-Evidence across texts, for every low-information body (few different terms), whatever its length and whatever the first
-kind found: bodies are compared with numbers and reference codes taken out. A body is a response served in place of
-content if most copies share no term with their address (source key and section) or title, no address (title and key,
-a null is one of each) holds more than half of the copies, and its terms are rarer in the ordinary texts of the hosts
-(sources) that served it than in their low-information ones. Words of server responses and stock sentences add to that
-score. All of it is relative to the number of copies and texts.
+Responses served in place of content are learned from the corpus, in any language; no sentence of theirs is written here:
+
+1. A text is cut into segments (sentences, lines, parts between dashes), without case, punctuation, numbers and reference
+   codes. What stands in quotation marks is reported speech and belongs to no segment.
+2. A body is of low information if it is short against the texts of its host (its source) and of the corpus, or if
+   different addresses (title and source key) serve the same body.
+3. Address slug (source key, section), title and body terms are compared: a body that shares no term with them is apart.
+4. Of every segment that such bodies repeat at different addresses, the addresses where it stands in a body of low
+   information are weighed against those where it stands among ordinary text, by how much of its host's text is of low
+   information. A response fills whole pages far more often than a host's sentences do. The log-likelihood ratio must
+   exceed the logarithm of the number of segments in bodies of low information, so the bar rises with the corpus as chance findings do.
+   Most low-information bodies of the segment must be apart, and no address may hold more than half of its copies.
+5. A document with such a segment anywhere, or with a detector's finding, has residue.
+
+Detectors read one text: placeholders (tokens of template languages, bracketed instructions, what a failed filling
+leaves), filler (runs of repeated words; pseudo-Latin, words that begin like those of the standard passage) and coded
+errors (a status code after its word, a traceback). A response that stands at one address only isn't found by 4.
 
 Null, empty and blank texts are no cases. Control strings of tokenizers, odd characters and foreign scripts are no
-evidence. Texts are read whole. Repeated rows are judged alike.
+evidence. Texts are read whole and once. Repeated rows are judged alike, null titles, keys and hosts are one of each.
 """
 
 from __future__ import annotations
 
 import re
-from functools import lru_cache
-from hashlib import sha256
 from operator import eq
 
-import ahocorasick
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
 
-# ---- fixed values -----------------------------------------------------------------------------------------------------
+# ---- detectors --------------------------------------------------------------------------------------------------------
 
-#: Stock sentences that count wherever they stand outside quotation marks.
-NOTICES = (
-    "please enable javascript", "please turn on javascript", "please activate javascript", "enable javascript to", "javascript is disabled", "javascript is required", "requires javascript", "you need to turn on javascript", "you need to enable javascript",
-    "this site requires scripts", "this site needs scripts", "this page requires scripts", "your browser has them turned off", "your browser is not supported", "your browser does not support", "your browser is out of date", "scripting must be switched on", "scripting must be enabled",
-    "checking your browser before", "allow scripts for this site", "bitte aktivieren sie javascript", "javascript aktivieren", "javascript ist deaktiviert", "müssen skripte im browser erlaubt sein", "diese seite benötigt skripte", "diese seite benötigt javascript", "ihr browser wird nicht unterstützt",
-    "veuillez activer javascript", "activez javascript", "ce site a besoin de scripts", "ce site nécessite javascript", "votre navigateur n'est pas", "active javascript para", "active javascript", "habilite javascript", "este sitio necesita scripts", "este sitio requiere javascript", "su navegador no es compatible", "su navegador los tiene desactivados",
-)
-ERRORS = (
-    "you do not have permission to view", "the page you asked for could not be found", "the page you requested could not be found", "the requested url was not found", "we can't find that entry", "we can't find that page", "this address leads nowhere", "the server could not complete your request",
-    "something went wrong on our side", "the service is temporarily down", "slow down and reload", "sign in again to go on", "contact the administrator and quote reference", "database connection failed", "error establishing a database connection", "fatal error: memory exhausted", "fatal error: allowed memory",
-    "http 404 - file", "404 not found", "403 forbidden", "401 unauthorized", "410 gone", "500 internal server error", "502 bad gateway", "503 service unavailable", "504 gateway time-out", "504 gateway timeout",
-    "die angeforderte seite existiert nicht", "die angeforderte seite wurde nicht gefunden", "bitte versuchen sie es später noch einmal", "ihre sitzung ist abgelaufen", "interner serverfehler", "la page demandée n'existe pas", "le serveur a rencontré un problème", "le serveur a rencontré une erreur",
-    "veuillez réessayer plus tard", "votre session a expiré", "erreur interne du serveur", "la página solicitada no existe", "vuelva a intentarlo más tarde", "su sesión ha caducado", "error interno del servidor",
-)
-FILLERS = (
-    "lorem ipsum", "your text goes here", "text goes here", "title goes here", "body copy body copy", "placeholder paragraph", "placeholder text", "replace this paragraph with", "this entry has not been written yet", "hier steht ihr text", "fließtext fließtext", "dieser eintrag ist noch nicht verfasst", "ersetzen sie diesen absatz",
-    "votre texte ici", "corps du texte corps du texte", "cette fiche n'est pas encore rédigée", "remplacez ce paragraphe", "aquí va su texto", "cuerpo del texto cuerpo del texto", "esta ficha aún no está redactada", "sustituya este párrafo",
-)
-#: Stock sentences that only count as a whole sentence or line.
-SHORT_ERRORS = (
-    "page not found", "file not found", "access denied", "too many requests", "your session has expired", "service unavailable", "internal server error", "bad gateway", "forbidden", "please try again later", "this may take a few seconds", "seite nicht gefunden", "zugriff verweigert", "dienst nicht verfügbar", "page introuvable", "accès refusé", "service indisponible", "página no encontrada", "acceso denegado", "servicio no disponible",
-)
-SHORT_FILLERS = ("dummy entry", "dummy text", "sample text", "subtitle goes here", "titel hier", "untertitel hier", "beispieltext", "blindtext", "titre ici", "sous-titre ici", "texte d'exemple", "título aquí", "subtítulo aquí", "texto de ejemplo")
-PSEUDO_LATIN = frozenset(
-    "lorem ipsum dolor sit amet consectetur consectetuer adipiscing adipisicing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit anim laborum "
-    "dolan sitra amera consor adipi elitus sedu eiusma tempora incid labori magnat venia nostru".split()
-)
-#: Words of server responses, a signal of the cross-text evidence.
-RESPONSE_WORDS = frozenset(
-    "page error server request session browser javascript script scripts scripting cookies access permission denied expired reload loading administrator reference database connection unavailable maintenance seite fehler anfrage sitzung zugriff serveur erreur navigateur requête página servidor solicitud navegador acceso sesión".split()
+#: The words of the standard filler passage.
+FILLER_PASSAGE = (
+    "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo "
+    "consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt culpa officia deserunt mollit anim est laborum"
 )
+_BEGINNINGS = frozenset(w[:3] for w in FILLER_PASSAGE.split())
 
 #: What must stand in a text -> the placeholders that hold it; a text without the first is never searched for the second.
 _PLACEHOLDERS = tuple(
     (mark, re.compile(pattern))
     for mark, pattern in (
-        ("{", r"\{\{[^{}\n]{0,60}\}\}|\{%[^{}\n]{0,80}%\}|\$\{[^{}\n]{1,60}\}|#\{[^{}\n]{1,60}\}|(?<![{$#\w])\{[A-Za-z_][\w.]*\}|\{%|\{\{ "),
-        ("%", r"<%[^<>\n]{0,80}%>|<%=|%\}|%\([\w.]{1,60}\)[sd]|(?<![\w%])%[A-Z][A-Z_]*(?:\.[A-Z_]+)?%(?!\w)|(?<![\w%])%[sd](?![\w%])"),
-        ("@@", r"@@[\w.]{1,60}@@"), ("[[", r"\[\[[A-Z][A-Z0-9_.]*\]\]"), ("__", r"(?<!\w)__[A-Z][A-Z0-9]*(?:[_.][A-Z0-9]+)*__(?!\w)"),
+        ("{", r"\{\{[^{}\n]*\}\}|\{%[^{}\n]*%\}|\$\{[^{}\n]+\}|#\{[^{}\n]+\}|(?<![{$#\w])\{[A-Za-z_][\w.]*\}|\{%|\{\{ "),
+        ("%", r"<%[^<>\n]*%>|<%=|%\}|%\([\w.]+\)[sd]|(?<![\w%])%[A-Z][A-Z_]*(?:\.[A-Z_]+)?%(?!\w)|(?<![\w%])%[sd](?![\w%])"),
+        ("@@", r"@@[\w.]+@@"), ("[[", r"\[\[[A-Z][A-Z0-9_.]*\]\]"), ("__", r"(?<!\w)__[A-Z][A-Z0-9]*(?:[_.][A-Z0-9]+)*__(?!\w)"),
         ("#", r"#REF!|#(?:NAME|VALUE)\?"), ("[object", r"\[object Object\]"), ("XX", r"\bXX\.X\b"), ("TODO", r"\bTODO:"), ("undefined", r"(?<![\w-])undefined(?![\w-])"), ("NaN", r"\bNaN\b"),
-        ("&lt;", r"&lt;(?:name|title|text|your [^&]{1,30})&gt;"),
+        ("&lt;", r"&lt;(?:name|title|text|your [^&]+)&gt;"),
     )
 )
 _INSTRUCTION = re.compile(
-    r"\[(?:insert|enter|your|add|name of|tbd|tba|todo|fill in|placeholder|hier einfügen|name ergänzen|bitte ergänzen|ihr text|à compléter|insérer|votre texte|por completar|inserte|insertar|su texto)\b[^\[\]\n]{0,60}\]"
-    r"|<(?:add|insert|enter|your|votre|ihre?|su|nombre|nom|name)\b(?: [^<>=\n]{1,40})?>",
+    r"\[(?:insert|enter|your|add|name of|tbd|tba|todo|fill in|placeholder|hier einfügen|name ergänzen|bitte ergänzen|ihr text|à compléter|insérer|votre texte|por completar|inserte|insertar|su texto)\b[^\[\]\n]*\]"
+    r"|<(?:add|insert|enter|your|votre|ihre?|su|nombre|nom|name)\b(?: [^<>=\n]+)?>",
     re.I,
 )
 _NONE = re.compile(r"(?<![.!?…\n\"“«] )(?<=\S )None(?! of\b)(?=[\s.,;]|$)")
 _CODED = re.compile(r"(?:^|[\n.!?…—]\s*|\s{2,})(?:http |status )?(?:error|fehler|erreur|http error)[ :]+[45]\d\d\b(?! [\w]* ?percent)|\btraceback(?: \(most recent call last\))?: ?(?:\w+error\b)?|\b\w+error: '", re.I)
-_SCRIPTS = re.compile(r"\b(?:enable|activate|turn on|switch on|allow|activer|aktivieren|activar|habilitar)\W+(?:\w+\W+){0,3}(?:javascript|java script)\b", re.I)
-_REFERENCE = re.compile(r"\b(?=\w*\d)\w{4,}\b|\d+")
-_OPEN_QUOTES = "\"“„«‘'‹"
-_WORD = re.compile(r"\w+")
 _UNIT = re.compile(r"(.)\1{3,}|(.{2,4})\2{2,}")
 
 
-@lru_cache(maxsize=1)
-def _phrases() -> ahocorasick.Automaton:
-    a = ahocorasick.Automaton()
-    for kind, words, whole in (("notice", NOTICES, False), ("error", ERRORS, False), ("filler", FILLERS, False), ("error", SHORT_ERRORS, True), ("filler", SHORT_FILLERS, True)):
-        for w in words:
-            a.add_word(w, (kind, len(w), whole))
-    a.make_automaton()
-    return a
-
-
-def _begins(text: str, at: int) -> bool:
-    """Whether a sentence or line begins at `at`."""
-    k = at
-    while k and text[k - 1] in " \t ​﻿":
-        k -= 1
-    return not k or text[k - 1] in "\r\n\x0b\x0c\x85 " or text[k - 1] in ".!?…—–|:>)" or at - k >= 2 or not text[k - 1].isalnum() and text[k - 1] not in ",;" + _OPEN_QUOTES
-
-
-def _ends(text: str, at: int) -> bool:
-    """Whether a sentence or line ends at `at`, or something like it: a dash, a reference code, the next sentence."""
-    k = at
-    while k < len(text) and text[k] in " \t ":
-        k += 1
-    return k >= len(text) or text[k] in "\r\n.!?…—–-|:(" or k > at
-
-
-def _quoted(text: str, at: int) -> bool:
-    k = at
-    while k and text[k - 1] == " ":
-        k -= 1
-    return k > 0 and text[k - 1] in _OPEN_QUOTES and (k < 2 or not text[k - 2].isalnum())
-
-
 def repeated_words(words: list[str]) -> bool:
     """A run of one word or pair of words four times or more (three of a word that is itself a repetition)."""
     for period in (1, 2):
@@ -143,136 +81,126 @@ def repeated_words(words: list[str]) -> bool:
     return False
 
 
+def pseudo_latin(words: list[str]) -> bool:
+    """A run of four words, three of them different, that begin like words of the standard filler passage."""
+    run: list[str] = []
+    for w in words:
+        if w[:3] not in _BEGINNINGS:
+            run = []
+            continue
+        run.append(w.strip(".,;:!?"))
+        if len(run) >= 4 and len(set(run[-4:])) >= 3 and all(x.isalpha() for x in run[-4:]):
+            return True
+    return False
+
+
 def evidence(text: str | None) -> list[str]:
-    """The kinds of residue a text holds, sorted: error, filler, notice, placeholder."""
+    """What the detectors find in a text, sorted: error, filler, placeholder."""
     if not text or not text.strip():
         return []
     found = set()
     if any(mark in text and pattern.search(text) for mark, pattern in _PLACEHOLDERS) or ("[" in text or "<" in text) and _INSTRUCTION.search(text) or "None" in text and _NONE.search(text):
         found.add("placeholder")
-    low = text.lower().replace("’", "'").replace(" ", " ")
-    same_length = len(low) == len(text)
-    for end, (kind, size, whole) in _phrases().iter(low):
-        at = end + 1 - size
-        if kind in found or at and low[at - 1].isalnum() or end + 1 < len(low) and low[end + 1].isalnum() and low[end].isalnum():
-            continue
-        if _quoted(low, at):
-            continue
-        if whole and not (_begins(low, at) and _ends(low, end + 1) and (not same_length or not text[at].islower())):
-            continue
-        found.add(kind)
+    low = text.lower()
     if ("error" in low or "fehler" in low or "erreur" in low or "traceback" in low) and _CODED.search(low):
         found.add("error")
-    if "javascript" in low and (m := _SCRIPTS.search(low)) and not _quoted(low, m.start()):
-        found.add("notice")
     words = low.split()
-    if "filler" not in found:
-        run = 0
-        if sum(w in PSEUDO_LATIN for w in words) >= 2:
-            for w in words:
-                run = run + 1 if w.strip(".,;:!?") in PSEUDO_LATIN else 0
-                if run >= 4:
-                    break
-        if run >= 4 or repeated_words(words):
-            found.add("filler")
+    if repeated_words(words) or pseudo_latin(words):
+        found.add("filler")
     return sorted(found)
 
 
-def fingerprint(text: str) -> str:
-    """A body without numbers, reference codes, case and spacing."""
-    return " ".join(_REFERENCE.sub("#", text.lower()).split())
-
-
-JUDGED = T.StructType([
-    T.StructField("kinds", T.ArrayType(T.StringType())), T.StructField("body_key", T.StringType()), T.StructField("terms", T.ArrayType(T.StringType())),
-    T.StructField("apart", T.IntegerType()), T.StructField("signals", T.IntegerType()),
-])
-#: Copies' worth of texts by which a host's term rates lean on those of all hosts.
-PRIOR = 100
-#: Terms of repeated bodies up to which they are broadcast.
-MOST_BROADCAST = 500_000
+# ---- segments ---------------------------------------------------------------------------------------------------------
 
-
-def few_terms(text: str, most_terms: int) -> set[str] | None:
-    """The different terms of a text, None beyond `most_terms`; reading stops there."""
-    terms: set[str] = set()
-    for m in _WORD.finditer(text):
-        terms.add(m[0].lower())
-        if len(terms) > most_terms:
-            return None
-    return terms
+#: Steps from a text to lines of words, one line a segment: (pattern of the linear-time engine, what takes its place).
+_STEPS = (
+    (r"""(^|[^\pL\pN])["“„«‹][^"“”„«»‹›\r\n]*["”“»›]""", r'\1"'),
+    (r"""[.!?…。]+["”»’')\]]*(?:[\s\x{a0}\x{202f}]+|$)|[\r\n\x0b\x0c\x{85}\x{2028}\x{2029}]+|\s(?:[—–|-]\s|\s+)""", "\n"),
+    (r"[\pL_]*\pN[\pL\pN_]*", " "),
+    (r"[^\pL\pM\pN\n ]+", " "),
+    (r" +", " "),
+    (r" ?\n[ \n]*", "\n"),
+)
+#: A line up to its first inner capital, and from its last: sentences that run together without a mark meet at a capital.
+_BEGINNING, _END = r"(?m)^([^\n]*?) \p{Lu}[^\n]*$", r"(?m)^[^\n]* (\p{Lu}[^\n]*)$"
 
 
-def judged(documents: DataFrame, most_terms: int = 25) -> DataFrame:
-    """documents with _e: kinds of residue and, for bodies of few terms, the digest and terms of the fingerprint, whether it is apart from its address and title, and the number of signals of a response."""
+def segments(texts: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(lines, beginnings, ends) of texts: the segments of each, their words parted by blanks, one a line."""
+    for pattern, instead in _STEPS:
+        texts = pc.replace_substring_regex(texts, pattern, instead)
+    lines = pc.utf8_trim(texts, " \n")
+    cut = [pc.replace_substring_regex(lines, pattern, r"\1") for pattern in (_BEGINNING, _END)]
+    return tuple(pc.utf8_lower(x) for x in (lines, *cut))
 
-    @F.pandas_udf(JUDGED)
-    def judge(texts: pd.Series, address: pd.Series) -> pd.DataFrame:
-        out = []
-        for t, a in zip(texts, address):
-            kinds, body = evidence(t if isinstance(t, str) else None), (None, None, None, None)
-            if isinstance(t, str) and (terms := few_terms(t, most_terms)):
-                plain = fingerprint(t)
-                apart = not terms & {w for w in _WORD.findall(a.lower()) if len(w) > 3}
-                signals = bool(terms & RESPONSE_WORDS) + bool({"error", "notice"} & set(kinds))
-                body = sha256(plain.encode("utf-8", "replace")).hexdigest(), sorted(set(_WORD.findall(plain))), int(apart), signals
-            out.append((kinds, *body))
-        return pd.DataFrame(out, columns=["kinds", "body_key", "terms", "apart", "signals"]).astype({"apart": "Int32", "signals": "Int32"})
 
-    address = F.concat_ws(" ", "source_key", "section_name", "title")
-    # marked as not deterministic so that filters on the verdict don't judge a second time
-    return documents.withColumn("_e", judge.asNondeterministic()(F.col("text"), address))
+SEEN = T.StructType([T.StructField("kinds", T.ArrayType(T.StringType())), *(T.StructField(name, T.ArrayType(T.StringType())) for name in ("segs", "begins", "ends"))])
 
 
-def _rates(texts: DataFrame, wanted: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Of texts (host, terms): (host, n_<name>), and (host, term, c_<name>) of the wanted terms, read in one pass."""
-    whole = F.array_append(F.array_remove("terms", ""), F.lit(""))  # the empty term counts the texts
-    counts = materialise(texts.select("host", F.explode(whole).alias("term")).join(wanted, "term", "left_semi").groupBy("host", "term").agg(F.count("*").alias(f"c_{name}")))
-    return counts.where("term = ''").select("host", F.col(f"c_{name}").alias(f"n_{name}")), counts
+@F.arrow_udf(SEEN)
+def look(texts: pa.Array) -> pa.Array:
+    """Detectors' findings and segments of each text."""
+    kinds = pa.array([evidence(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+    return pa.StructArray.from_arrays([kinds, *(pc.split_pattern(x, "\n") for x in segments(texts.cast(pa.string())))], ["kinds", "segs", "begins", "ends"])
 
 
-def served(documents: DataFrame, low: DataFrame, most_terms: int = 25, weight: float = 0.5) -> DataFrame:
-    """body_key of the bodies among the low-information rows `low` that were served in place of content.
+def read(documents: DataFrame) -> DataFrame:
+    """doc_id, host, address, n, kinds, segs, edges, apart of each text that isn't blank, written once: all that follows reads this.
 
-    The score of a body is the mean over its terms and copies of ln(rate in ordinary texts / rate in low-information
-    texts of its host), less `weight` for each signal; below 0 it is a response. Ordinary texts are read a second time,
-    in generated code, and only for the terms of repeated bodies.
+    segs are the 64-bit hashes of the segments: they only serve statistics and lookups, where one of a billion ordinary
+    segments meets one of ten thousand responses by chance once in two million corpora.
     """
-    per = low.groupBy("body_key", "title", "source_key").agg(F.count("*").alias("n"), F.sum("apart").alias("apart"), F.max("signals").alias("signals"), F.min("terms").alias("terms"))
-    bodies = per.groupBy("body_key").agg(F.sum("n").alias("copies"), F.max("n").alias("most"), F.sum("apart").alias("apart"), F.max("signals").alias("signals"), F.min("terms").alias("terms"))
-    repeated = materialise(bodies.where("2 * most <= copies and 2 * apart >= copies and size(terms) > 0"))
-    wanted = materialise(repeated.select(F.explode("terms").alias("term")).unionByName(documents.sparkSession.createDataFrame([("",)], "term string")).distinct())
-    if wanted.count() <= MOST_BROADCAST:  # so that only counts shuffle
-        wanted = F.broadcast(wanted)
-    read = documents.select(F.col("source").alias("host"), F.array_remove(F.array_distinct(F.split(F.lower("text"), r"(?U)\W+")), "").alias("terms")).where(F.size("terms") > most_terms)
-    sizes, counts = {}, {}
-    for name, texts in (("ordinary", read), ("low", low.select("host", "terms"))):
-        sizes[name], counts[name] = _rates(texts.withColumn("host", F.coalesce("host", F.lit(""))), wanted, name)
-    at = low.withColumn("host", F.coalesce("host", F.lit(""))).groupBy("body_key", "host").agg(F.count("*").alias("n"))
-    pairs = at.join(repeated.select("body_key", "copies", "signals", "terms"), "body_key").withColumn("words", F.size("terms")).withColumn("term", F.explode("terms")).drop("terms")
-    ratio = F.lit(0.0)
-    for name, sign in (("ordinary", 1), ("low", -1)):
-        s, c = sizes[name], counts[name]
-        whole = c.groupBy("term").agg(F.sum(f"c_{name}").alias(f"all_{name}"))
-        pairs = pairs.join(s, "host", "left").join(c, ["host", "term"], "left").join(whole, "term", "left").crossJoin(F.broadcast(s.agg(F.sum(f"n_{name}").alias(f"total_{name}"))))  # one row
-        n = lambda x: F.coalesce(F.col(f"{x}_{name}"), F.lit(0))  # noqa: B023, E731
-        overall = (n("all") + 0.5) / (n("total") + 1)
-        ratio = ratio + sign * F.log((n("c") + PRIOR * overall) / (n("n") + PRIOR))
-    scored = pairs.groupBy("body_key", "signals").agg(F.sum(F.col("n") / F.col("copies") / F.col("words") * ratio).alias("score"))
-    return scored.where(F.col("score") - weight * F.col("signals") < 0).select("body_key")
+    if "source" not in documents.columns:
+        documents = documents.withColumn("source", F.lit(None).cast("string"))
+    clues = F.filter(F.split(F.lower(F.concat_ws(" ", "source_key", "section_name", "title")), r"[^\p{L}\p{M}\p{N}]+"), lambda w: F.length(w) > 3)
+    parted = documents.where("trim(text) <> ''").select(
+        "doc_id", F.coalesce("source", F.lit("")).alias("host"), F.xxhash64("title", "source_key").alias("address"), F.length("text").alias("n"),
+        (~F.exists(clues, lambda w: F.contains(F.lower("text"), w))).alias("apart"), look.asNondeterministic()(F.col("text")).alias("_e"),
+    )
+    hashed = lambda texts: F.transform(F.array_remove(F.array_distinct(texts), ""), lambda s: F.xxhash64(s))
+    edges = F.array_except(F.concat("_e.begins", "_e.ends"), F.col("_e.segs"))
+    return materialise(parted.select("doc_id", "host", "address", "n", "apart", "_e.kinds", hashed(F.col("_e.segs")).alias("segs"), hashed(edges).alias("edges")))
+
+
+# ---- evidence across texts --------------------------------------------------------------------------------------------
+
+#: Characters' worth of texts by which a host's share of low information leans on the corpus's.
+PRIOR = 100_000
+
+
+def low_information(seen: DataFrame, brevity: float = 0.5) -> DataFrame:
+    """seen with low: whether a body is shorter than `brevity` of the median of its host or the corpus, whichever is longer, or repeated at different addresses; n is at most the corpus's median, so no long text outweighs others."""
+    whole = seen.agg(F.percentile_approx("n", 0.5).alias("_all"))
+    hosts = seen.groupBy("host").agg(F.percentile_approx("n", 0.5).alias("_host"))
+    bodies = seen.where("size(segs) > 0").select(F.xxhash64("segs").alias("_body"), "address").distinct().groupBy("_body").agg(F.count("*").alias("_places")).where("_places > 1")
+    joined = seen.withColumn("_body", F.xxhash64("segs")).join(hosts, "host").join(bodies, "_body", "left").crossJoin(F.broadcast(whole))  # one row
+    return joined.withColumn("low", (F.col("n") < brevity * F.greatest("_host", "_all")) | F.col("_places").isNotNull()).withColumn("n", F.least("n", "_all")).drop("_body", "_host", "_all", "_places")
+
+
+def responses(seen: DataFrame, expected: float = 0.5) -> DataFrame:
+    """seg of the segments served in place of content; `expected` is the share of a response's addresses with nothing else to say."""
+    judged = materialise(low_information(seen).select("host", "address", "n", "segs", "apart", "low"))
+    hosts = judged.groupBy("host").agg(F.sum(F.when(F.col("low"), F.col("n")).otherwise(0)).alias("low_n"), F.sum("n").alias("all_n"))
+    base = hosts.agg((F.sum("low_n") / F.sum("all_n")).alias("base"))
+    share = F.least(F.lit(expected), F.greatest(F.lit(1e-6), (F.col("low_n") + PRIOR * F.col("base")) / (F.col("all_n") + PRIOR)))
+    rates = hosts.crossJoin(F.broadcast(base)).select("host", share.alias("rate"))  # one row
+    # what bodies of low information repeat at different addresses; only these segments are counted in all others
+    low = judged.where("low").select("address", "apart", F.explode("segs").alias("seg"))
+    repeated = materialise(
+        low.groupBy("seg", "address").agg(F.count("*").alias("c"), F.count_if("apart").alias("a")).groupBy("seg").agg(F.count("*").alias("places"), F.sum("c").alias("copies"), F.sum("a").alias("apart"), F.max("c").alias("most"))
+        .where("places > 1 and 2 * apart >= copies and 2 * most <= copies").select("seg")
+    )
+    places = judged.select("host", "address", "low", F.explode("segs").alias("seg")).join(repeated, "seg", "left_semi").groupBy("seg", "host", "address").agg(F.max("low").alias("low"))
+    gain = F.when(F.col("low"), F.log(F.lit(expected) / F.col("rate"))).otherwise(F.log((1 - F.lit(expected)) / (1 - F.col("rate"))))
+    weighed = places.groupBy("seg", "host", "low").agg(F.count("*").alias("c")).join(rates, "host").groupBy("seg").agg(F.sum(F.col("c") * gain).alias("gain"))
+    compared = low.agg(F.log(F.greatest(F.approx_count_distinct("seg"), F.lit(1))).alias("bar"))
+    return weighed.crossJoin(F.broadcast(compared)).where("gain > bar").select("seg")  # one row
 
 
 def flagged(documents: DataFrame) -> DataFrame:
-    """doc_id, kinds of each document with residue. A body judged across texts has the kind ``served_response``.
-
-    Texts are judged once; the rows with evidence or a low-information body go to a narrow table in the shared folder
-    that the rest reads. Bodies are counted per (body, title, key) first, so a body served a billion times shuffles as
-    few rows.
-    """
-    if "source" not in documents.columns:
-        documents = documents.withColumn("source", F.lit(None).cast("string"))
-    held = judged(documents).select("doc_id", "title", "source_key", F.col("source").alias("host"), "_e.*")
-    seen = materialise(held.where("size(kinds) > 0 or body_key is not null"))
-    found = served(documents, seen.where("body_key is not null")).withColumn("_served", F.lit(True))
+    """doc_id, kinds of each document with residue; a response learned from the corpus has the kind ``served_response``."""
+    seen = read(documents)
+    learned = materialise(responses(seen))
+    held = seen.select("doc_id", F.explode(F.concat("segs", "edges")).alias("seg")).join(learned, "seg", "left_semi").select("doc_id").distinct().withColumn("_served", F.lit(True))
     kinds = F.when(F.col("_served"), F.array_append("kinds", F.lit("served_response"))).otherwise(F.col("kinds"))
-    return seen.join(found, "body_key", "left").select("doc_id", kinds.alias("kinds")).where(F.size("kinds") > 0)
+    return seen.join(held, "doc_id", "left").select("doc_id", kinds.alias("kinds")).where(F.size("kinds") > 0)
