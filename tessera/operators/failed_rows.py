@@ -12,7 +12,7 @@ parse costs nothing is valid and loads typed; for every other line the edit oper
 Edits of delimiters are never allowed next to a quote, so they cannot hide broken quoting. Null and blank lines are
 lines of one empty cell (``wrong_column_count``). A null delimiter means a comma. Very long lines are read whole.
 Most lines need no repair: they are read by one regular expression that is the zero-cost path of the parse, and the
-tables of the dynamic program are only filled for lines it can't take.
+tables of the dynamic program are only filled for lines it can't take. Its time is linear in the length of the line.
 """
 
 from __future__ import annotations
@@ -28,13 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-QUOTE_EDIT, DELIMITER_EDIT, REFUSED = 1_000_000, 1_000, 1
+#: So far apart that no number of lesser edits of a line of 100 million cells outweighs a greater one.
+QUOTE_EDIT, DELIMITER_EDIT, REFUSED = 10**12, 10**4, 1
 CODES = ("broken_quoting", "wrong_column_count", "invalid_value")
 
 
 @dataclass(frozen=True)
 class Field:
-    """A column of a layout: a pattern the whole cell must match, an optional further test, the Spark type to load."""
+    """A column of a layout: a pattern (no anchors or lookarounds) the whole cell must match, an optional further test, the Spark type to load."""
 
     name: str
     pattern: str = r"(?s).*"
@@ -42,6 +43,10 @@ class Field:
     test: Callable[[str], bool] | None = None
     strip: str = ""
 
+    def accepts_at(self, text: str, start: int, end: int) -> bool:
+        """As accepts for text[start:end], which is only cut out if there is a further test."""
+        return _compiled(self.pattern).fullmatch(text, start, end) is not None and (self.test is None or self.test(text[start:end]))
+
     def accepts(self, cell: str) -> bool:
         return _compiled(self.pattern).fullmatch(cell) is not None and (self.test is None or self.test(cell))
 
@@ -90,109 +95,219 @@ def strict_cells(line: str, delimiter: str) -> list[str] | None:
 
 # ---- the repair of quotes ------------------------------------------------------------------------------------------
 
-START, BARE, QUOTED, CLOSED = range(4)
-
+START, BARE, QUOTED, CLOSED, LITERAL, CLOSED_LITERAL = range(6)  # the literal modes hold a quote written twice
+_ENDS = (START, BARE, CLOSED, CLOSED_LITERAL)
+_FAR = 1 << 60
+#: mode -> mode at no cost but an inserted quote, in the order in which they can follow each other.
+_INSERTED = ((START, QUOTED), (QUOTED, CLOSED), (LITERAL, CLOSED_LITERAL))
+#: (mode, mode after, quote edits) of a quote, a delimiter and a run of text.
+_AT_QUOTE = ((START, QUOTED, 0), (START, BARE, 1), (BARE, BARE, 1), (QUOTED, CLOSED, 0), (QUOTED, QUOTED, 1), (LITERAL, CLOSED_LITERAL, 0), (LITERAL, LITERAL, 1))
+_AT_DELIMITER = ((QUOTED, QUOTED, 0), (LITERAL, LITERAL, 0), *((m, START, 0) for m in _ENDS))
+_AT_TEXT = ((START, BARE, 0), (BARE, BARE, 0), (QUOTED, QUOTED, 0), (LITERAL, LITERAL, 0))
+_DOUBLED = ((QUOTED, LITERAL), (LITERAL, LITERAL))
 
-def repair_quotes(line: str, delimiter: str, columns: int) -> tuple[list[str], list[str]]:
-    """Cells and quote edits of the cheapest parse that keeps all delimiters, nearest to `columns` cells among equals.
 
-    State: (token, cells finished, mode). Deleting or inserting a quote costs one edit each.
-    """
-    tokens = re.findall(rf'"|{re.escape(delimiter)}|[^"{re.escape(delimiter)}]+', line)
-    places, at = [], 0
-    for t in tokens:
-        places.append(at)
-        at += len(t)
-    places.append(at)
-    # best[(i, j, mode)] = (cost, previous state, text added, edit)
+def _quote_costs(tokens: list[str], delimiter: str) -> tuple[list[list[int]], list[list[int]], list[tuple], list[bool]]:
+    """Least quote edits up to and from each (token, mode), the moves at each token, and where a quote is doubled."""
     n = len(tokens)
-    layers: list[dict] = [{} for _ in range(n + 2)]
-    layers[0][(0, START)] = (0, None, "", None)
-
-    def relax(to: int, state: tuple, cost: int, back: tuple, text: str, edit: str | None) -> bool:
-        if state not in layers[to] or layers[to][state][0] > cost:
-            layers[to][state] = (cost, back, text, edit)
-            return True
-        return False
-
+    moves = [_AT_QUOTE if t == '"' else _AT_DELIMITER if t == delimiter else _AT_TEXT for t in tokens]
+    doubled = [t == '"' and i + 1 < n and tokens[i + 1] == '"' for i, t in enumerate(tokens)]
+    ahead = [[_FAR] * 6 for _ in range(n + 1)]
+    ahead[0][START] = 0
     for i in range(n + 1):
-        # moves that read nothing: insert an opening quote, insert a closing quote
-        for (j, mode), (cost, *_rest) in list(layers[i].items()):
-            if mode == START and i < n:
-                relax(i, (j, QUOTED), cost + 1, (i, j, mode), "", f"insert quote at {places[i]}")
-        for (j, mode), (cost, *_rest) in list(layers[i].items()):
-            if mode == QUOTED:
-                relax(i, (j, CLOSED), cost + 1, (i, j, mode), "", f"insert quote at {places[i]}")
+        at = ahead[i]
+        for m, to in _INSERTED:
+            if (m != START or i < n) and at[m] + 1 < at[to]:
+                at[to] = at[m] + 1
         if i == n:
             break
-        token, is_delimiter = tokens[i], tokens[i] == delimiter
-        for (j, mode), (cost, *_rest) in layers[i].items():
-            back = (i, j, mode)
-            if token == '"':
-                if mode == START:
-                    relax(i + 1, (j, QUOTED), cost, back, "", None)
-                    relax(i + 1, (j, BARE), cost + 1, back, "", f"delete quote at {places[i]}")
-                elif mode == BARE:
-                    relax(i + 1, (j, BARE), cost + 1, back, "", f"delete quote at {places[i]}")
-                elif mode == QUOTED:
-                    relax(i + 1, (j, CLOSED), cost, back, "", None)
-                    relax(i + 1, (j, QUOTED), cost + 1, back, "", f"delete quote at {places[i]}")
-                    if i + 1 < n and tokens[i + 1] == '"':
-                        relax(i + 2, (j, QUOTED), cost, back, '"', None)
-            elif is_delimiter:
-                if mode == QUOTED:
-                    relax(i + 1, (j, QUOTED), cost, back, token, None)
+        after = ahead[i + 1]
+        for m, to, cost in moves[i]:
+            if at[m] + cost < after[to]:
+                after[to] = at[m] + cost
+        if doubled[i]:
+            beyond = ahead[i + 2]
+            for m, to in _DOUBLED:
+                if at[m] < beyond[to]:
+                    beyond[to] = at[m]
+    back = [[_FAR] * 6 for _ in range(n + 1)]
+    for m in _ENDS:
+        back[n][m] = 0
+    for i in range(n, -1, -1):
+        at = back[i]
+        if i < n:
+            after = back[i + 1]
+            for m, to, cost in moves[i]:
+                if after[to] + cost < at[m]:
+                    at[m] = after[to] + cost
+            if doubled[i]:
+                for m, to in _DOUBLED:
+                    if back[i + 2][to] < at[m]:
+                        at[m] = back[i + 2][to]
+        for m, to in reversed(_INSERTED):
+            if (m != START or i < n) and at[to] + 1 < at[m]:
+                at[m] = at[to] + 1
+    return ahead, back, moves, doubled
+
+
+_TAKE, _DROP, _MISS = "take", "drop", "miss"
+
+
+def repair(line: str, delimiter: str, layout: Sequence[Field]) -> tuple[list[str | None], list[str], list[str], list[str]]:
+    """(value of each column, quote edits, delimiter edits, refused columns) of the cheapest parse of a line, in linear time.
+
+    First the least number of quote edits on each side of every (token, mode) is found. Moves on no parse of least quote
+    edits are left out; over the others runs the program of cells and columns: state (token, mode, columns filled), moves
+    take a cell, drop it (a delimiter too many), miss a column (one too few). It is exact for layouts whose columns
+    either take quotes in a value whatever stands around them or refuse every value with a quote. States per token are
+    at most six times the columns.
+    """
+    tokens = re.findall(rf'"|{re.escape(delimiter)}|[^"{re.escape(delimiter)}]+', line)
+    ahead, back, moves, doubled = _quote_costs(tokens, delimiter)
+    n, columns = len(tokens), len(layout)
+    least = min(ahead[n][m] for m in _ENDS)
+    places = [0]
+    for t in tokens:
+        places.append(places[-1] + len(t))
+
+    plain, offsets = line.replace('"', ""), [0]
+    for t in tokens:
+        offsets.append(offsets[-1] + (len(t) if t != '"' else 0))
+    with_quotes = [f.accepts('"') for f in layout]
+
+    def text_of(entry: tuple, mode: int) -> str:
+        parts = []
+        while entry[3] is None and entry[1] is not None:
+            parts.append(entry[2])
+            entry = entry[1]
+        text = "".join(reversed(parts))
+        return text if mode in (CLOSED, CLOSED_LITERAL) else text.strip(" ")
+
+    def fits(k: int, mode: int, start: int, end: int) -> bool:
+        if mode == CLOSED_LITERAL:
+            return with_quotes[k]
+        if mode != CLOSED:
+            while start < end and plain[start] == " ":
+                start += 1
+            while start < end and plain[end - 1] == " ":
+                end -= 1
+        return layout[k].accepts_at(plain, start, end)
+
+    # an entry: (cost, entry before, text added, (action, column, mode) at the end of a cell, quote edit, where its cell starts in plain)
+    layers: list[dict] = [{} for _ in range(n + 2)]
+    layers[0][START, 0] = (0, None, "", None, None, 0)
+
+    def relax(layer: dict, key: tuple[int, int], entry: tuple) -> None:
+        held = layer.get(key)
+        if held is None or entry[0] < held[0]:
+            layer[key] = entry
+
+    def finish(layer: dict, mode: int, k: int, entry: tuple, end: int, after: int) -> None:
+        if k < columns:
+            relax(layer, (START, k + 1), (entry[0] + (0 if fits(k, mode, entry[5], end) else REFUSED), entry, "", (_TAKE, k, mode), None, after))
+        relax(layer, (START, k), (entry[0] + DELIMITER_EDIT, entry, "", (_DROP, k, mode), None, after))
+
+    def miss(layer: dict) -> None:
+        for k in range(columns):
+            if (held := layer.get((START, k))) is not None and (held[3] is not None or held[1] is None):
+                relax(layer, (START, k + 1), (held[0] + DELIMITER_EDIT, held, "", (_MISS, k, START), None, held[5]))
+
+    for i in range(n):
+        layer, at = layers[i], ahead[i]
+        miss(layer)
+        for m, to in _INSERTED:
+            if at[m] + 1 + back[i][to] == least:
+                for k in range(columns + 1):
+                    if (held := layer.get((m, k))) is not None:
+                        relax(layer, (to, k), (held[0], held, "", None, f"insert quote at {places[i]}", held[5]))
+        token = tokens[i]
+        piece = "" if token == '"' else token
+        for m, to, cost in moves[i]:
+            if at[m] + cost + back[i + 1][to] != least:
+                continue
+            edit = f"delete quote at {places[i]}" if cost else None
+            for k in range(columns + 1):
+                if (held := layer.get((m, k))) is None:
+                    continue
+                if to == START:
+                    finish(layers[i + 1], m, k, held, offsets[i], offsets[i + 1])
                 else:
-                    relax(i + 1, (j + 1, START), cost, back, "\0", None)
-            elif mode in (START, BARE):
-                relax(i + 1, (j, BARE), cost, back, token, None)
-            elif mode == QUOTED:
-                relax(i + 1, (j, QUOTED), cost, back, token, None)
-    ends = [(cost, abs(j + 1 - columns), j, mode) for (j, mode), (cost, *_rest) in layers[n].items() if mode != QUOTED]
-    _, _, j, mode = min(ends)
-    state, parts, edits = (n, j, mode), [], []
-    while state is not None:
-        _, back, text, edit = layers[state[0]][state[1:]]
-        parts.append(text)
+                    relax(layers[i + 1], (to, k), (held[0], held, piece, None, edit, held[5]))
+        if doubled[i]:
+            for m, to in _DOUBLED:
+                if at[m] + back[i + 2][to] == least:
+                    for k in range(columns + 1):
+                        if (held := layer.get((m, k))) is not None:
+                            relax(layers[i + 2], (to, k), (held[0], held, '"', None, None, held[5]))
+        layers[i] = {}
+    for m, to in _INSERTED[1:]:
+        if ahead[n][m] + 1 + back[n][to] == least:
+            for k in range(columns + 1):
+                if (held := layers[n].get((m, k))) is not None:
+                    relax(layers[n], (to, k), (held[0], held, "", None, f"insert quote at {places[n]}", held[5]))
+    done: dict = {}
+    miss(layers[n])
+    for (m, k), held in list(layers[n].items()):
+        if m in _ENDS and ahead[n][m] == least:
+            finish(done, m, k, held, offsets[n], offsets[n])
+    miss(done)
+    values: list[str | None] = [None] * columns
+    quotes, moved, refused, cell = [], [], [], 0
+    chain, entry = [], done[START, columns]
+    while entry is not None:
+        chain.append(entry)
+        entry = entry[1]
+    for _, entry, _, action, edit, _ in reversed(chain):
         if edit:
-            edits.append(edit)
-        state = back
-    return [c.strip(" ") for c in "".join(reversed(parts)).split("\0")], edits[::-1]
+            quotes.append(edit)
+        if action is None:
+            continue
+        what, k, mode = action
+        cell += what != _MISS
+        if what == _TAKE:
+            values[k] = text_of(entry, mode)
+            if not layout[k].accepts(values[k]):
+                refused.append(layout[k].name)
+        else:
+            moved.append(f"delete delimiter at cell {cell}" if what == _DROP else f"insert delimiter for {layout[k].name}")
+    return values, quotes, moved, refused
 
 
 # ---- the alignment of cells with columns ---------------------------------------------------------------------------
 
 
 def align(cells: Sequence[str], layout: Sequence[Field]) -> tuple[list[str | None], list[str], list[str]]:
-    """Cells set against the columns at the least cost: (value of each column, delimiter edits, refused columns)."""
+    """Cells set against the columns at the least cost: (value of each column, delimiter edits, refused columns).
+
+    The same program as in `repair` for lines whose quotes, and so whose cells, are in order.
+    """
     n, m = len(cells), len(layout)
     if n == m:
         return list(cells), [], [f.name for f, c in zip(layout, cells) if not f.accepts(c)]
-    cost = [[0] * (m + 1) for _ in range(n + 1)]
-    move = [[""] * (m + 1) for _ in range(n + 1)]
-    fits: dict[tuple[int, int], int] = {}
-    for i in range(n + 1):
-        for j in range(m + 1):
-            if not i and not j:
-                continue
-            options = []
-            if i and j:
-                fits[i, j] = 0 if layout[j - 1].accepts(cells[i - 1]) else REFUSED
-                options.append((cost[i - 1][j - 1] + fits[i, j], "take"))
-            if i:
-                options.append((cost[i - 1][j] + DELIMITER_EDIT, "delete"))
-            if j:
-                options.append((cost[i][j - 1] + DELIMITER_EDIT, "insert"))
-            cost[i][j], move[i][j] = min(options)
+    before = [j * DELIMITER_EDIT for j in range(m + 1)]
+    steps = [bytes(m + 1)]  # 0 insert, 1 delete, 2 take
+    for i, cell in enumerate(cells, 1):
+        row, step = [i * DELIMITER_EDIT], bytearray(m + 1)
+        step[0] = 1
+        for j in range(1, m + 1):
+            best, how = row[j - 1] + DELIMITER_EDIT, 0
+            if (cost := before[j] + DELIMITER_EDIT) <= best:
+                best, how = cost, 1
+            if before[j - 1] <= best and (cost := before[j - 1] + (0 if layout[j - 1].accepts(cell) else REFUSED)) <= best:
+                best, how = cost, 2
+            row.append(best)
+            step[j] = how
+        before = row
+        steps.append(bytes(step))
     i, j, values, edits, refused = n, m, [None] * m, [], []
     while i or j:
-        step = move[i][j]
-        if step == "take":
+        how = steps[i][j] if i else 0
+        if how == 2:
             i, j = i - 1, j - 1
             values[j] = cells[i]
             if not layout[j].accepts(cells[i]):
                 refused.append(layout[j].name)
-        elif step == "delete":
+        elif how == 1:
             i -= 1
             edits.append(f"delete delimiter at cell {i + 1}")
         else:
@@ -209,8 +324,9 @@ def parse_line(line: str | None, delimiter: str | None, layout: Sequence[Field])
         return cells, None, [], 0
     quotes: list[str] = []
     if cells is None:
-        cells, quotes = repair_quotes(line, delimiter, len(layout))
-    values, moved, refused = align(cells, layout)
+        values, quotes, moved, refused = repair(line, delimiter, layout)
+    else:
+        values, moved, refused = align(cells, layout)
     cost = len(quotes) * QUOTE_EDIT + len(moved) * DELIMITER_EDIT + len(refused) * REFUSED
     code = CODES[0] if quotes else CODES[1] if moved else CODES[2]
     return values, code, [*quotes, *moved, *(f"refused {x}" for x in refused)], cost

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,9 @@ from tessera.operators import failed_rows as fr
 GOOD = ["ab", "2001", "Field", "3", 'some "text"; here', "1,234.5", "parsed_exact", "", "2001-02-03"]
 
 
+SHORT = (fr.Field("letter", "[ab]"), fr.Field("any"), fr.Field("short", "|b|a,b"))
+
+
 def line(cells, d):
     return d.join('"' + c.replace('"', '""') + '"' if d in c or '"' in c or "\n" in c else c for c in cells)
 
@@ -59,7 +63,7 @@ def test_repair_is_cheapest_on_short_lines():
         text = "".join(rng.choice(['"', ",", "a", "b"]) for _ in range(rng.randint(1, 6)))
         if brute(text, ",") is not None:
             continue
-        _, edits = fr.repair_quotes(text, ",", 3)
+        _, edits, _, _ = fr.repair(text, ",", SHORT)
         quotes = [i for i, ch in enumerate(text) if ch == '"']
         for k in range(len(edits)):
             for ops in itertools.product(*[[("d", i) for i in quotes] + [("i", i) for i in range(len(text) + 1)]] * k):
@@ -70,6 +74,77 @@ def test_repair_is_cheapest_on_short_lines():
                 assert brute(fixed, ",") is None, (text, edits, fixed)
 
 
+def cheapest(text, layout):
+    """(quote edits, delimiter edits, refused) of the cheapest parse: every parse is tried, none is merged with another."""
+    n, m = len(text), len(layout)
+
+    def end(i, mode, k, cell, cost, rest):
+        cell = cell if mode == "closed" else cell.strip(" ")
+        if k < m:
+            yield from rest(k + 1, (cost[0], cost[1], cost[2] + (not layout[k].accepts(cell))))
+        yield from rest(k, (cost[0], cost[1] + 1, cost[2]))
+
+    def walk(i, mode, k, cell, cost):
+        q, d, r = cost
+        if mode == "start" and k < m and cell is not None:
+            yield from walk(i, "start", k + 1, "", (q, d + 1, r))
+        if mode == "start" and i < n:
+            yield from walk(i, "quoted", k, "", (q + 1, d, r))
+        if mode == "quoted":
+            yield from walk(i, "closed", k, cell, (q + 1, d, r))
+        if i == n:
+            if mode != "quoted":
+                yield from end(i, mode, k, cell, cost, lambda k2, c: iter([(c[0], c[1] + m - k2, c[2])]))
+            return
+        ch = text[i]
+        if ch == '"':
+            if mode in ("start", "bare"):
+                yield from walk(i + 1, "bare", k, cell, (q + 1, d, r))
+            if mode == "start":
+                yield from walk(i + 1, "quoted", k, "", cost)
+            if mode == "quoted":
+                yield from walk(i + 1, "closed", k, cell, cost)
+                yield from walk(i + 1, "quoted", k, cell, (q + 1, d, r))
+                if text[i + 1 : i + 2] == '"':
+                    yield from walk(i + 2, "quoted", k, cell + '"', cost)
+        elif ch == ",":
+            if mode == "quoted":
+                yield from walk(i + 1, "quoted", k, cell + ch, cost)
+            else:
+                yield from end(i, mode, k, cell, cost, lambda k2, c: walk(i + 1, "start", k2, "", c))
+        elif mode != "closed":
+            yield from walk(i + 1, "bare" if mode == "start" else mode, k, cell + ch, cost)
+
+    return min(walk(0, "start", 0, "", (0, 0, 0)))
+
+
+def test_joint_minimum_against_brute_force():
+    """Quotes, delimiters and refused values are minimised together."""
+    rng = random.Random(11)
+    broken = 0
+    for _ in range(1500):
+        text = "".join(rng.choice(['"', '"', ",", ",", "a", "b"]) for _ in range(rng.randint(1, 8)))
+        _, quotes, moved, refused = fr.repair(text, ",", SHORT)
+        assert (len(quotes), len(moved), len(refused)) == cheapest(text, SHORT), text
+        cells = fr.strict_cells(text, ",")
+        broken += cells is None
+        if cells is not None:
+            _, moved, refused = fr.align(cells, SHORT)
+            assert (0, len(moved), len(refused)) == cheapest(text, SHORT), text
+    assert broken > 500
+
+
+@pytest.mark.parametrize("part, end", [('ab"c,', ""), ("abc,", '"'), ("abc,", ""), ('"', "a"), ('"a"",', "")])
+def test_time_is_linear(part, end):
+    def took(times):
+        begun = time.perf_counter()
+        fr.parse_line(part * times + end, ",", fr.EXPORT_LAYOUT)
+        return time.perf_counter() - begun
+
+    took(100)
+    assert took(8_000) < 4 * 2 * max(took(2_000), 0.01)
+
+
 @pytest.mark.parametrize("text, code", [
     (line(GOOD, ","), None),
     (line(GOOD, ",").replace("parsed_exact", "parsed exact"), "invalid_value"),
