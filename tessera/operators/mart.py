@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,9 +29,30 @@ def fact_observation(claims: DataFrame, metrics: DataFrame, kinds: tuple[str, ..
 
 
 def refresh(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
-    """Write tables in the order given (dimensions before facts) beside the old ones; the number of rows of each."""
+    """Write tables in the order given (dimensions before facts), each a new version beside the old ones; the number of rows of each.
+
+    A version is named in the folder's list of versions only when it is whole, so a failed job leaves the tables that
+    were there. Rows are counted while they are written.
+    """
     counts = {}
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        counts[name] = df.sparkSession.read.parquet(f"{folder}/{name}").count()
+        seen = Observation(f"rows_{name}")
+        version = uuid.uuid4().hex
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{folder}/{name}/version={version}")
+        listed = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
+        listed.write.mode("append").parquet(f"{folder}/_versions/{name}")
+        counts[name] = seen.get["rows"]
     return counts
+
+
+def current(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The last whole version of a table of a refreshed folder."""
+    version = spark.read.parquet(f"{folder}/_versions/{name}").orderBy(F.desc("at")).first()["version"]
+    return spark.read.parquet(f"{folder}/{name}/version={version}")
+
+
+def analyse(table: DataFrame) -> DataFrame:
+    """column, rows, nulls, distinct, least, greatest: statistics of a table, in one pass, distinct counts approximate."""
+    plain = [f.name for f in table.schema.fields if f.dataType.typeName() not in ("array", "map", "struct", "binary", "variant")]
+    parts = [F.struct(F.lit(c).alias("column"), F.count("*").alias("rows"), F.count_if(F.col(c).isNull()).alias("nulls"), F.approx_count_distinct(c).alias("distinct"), F.min(c).cast("string").alias("least"), F.max(c).cast("string").alias("greatest")) for c in plain]
+    return table.agg(F.array(*parts).alias("s")).select(F.inline("s"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 SEVERITIES = ("info", "warning", "error")
 #: Example keys kept beside each check's true total.
 SAMPLE = 5
@@ -24,18 +26,56 @@ class Check:
     gate: bool = False
 
 
-def run(checks: list[Check]) -> DataFrame:
+def run(checks: list[Check], sample: int = SAMPLE) -> DataFrame:
     """check_name, severity, gate, findings, sample: one row per check, those without faults included.
 
-    The sample is the least keys, so it is the same at every run; it is taken by a bounded top-k per partition.
+    Every check is evaluated once: the keys of its faults go to one narrow table in the shared folder, from which totals
+    and samples come. The sample is the least keys, so it is the same at every run; it is a top-k that never holds more
+    than `sample` keys of a check.
     """
-    def one(c: Check) -> DataFrame:
-        keys = c.faults.select(c.key.cast("string").alias("k"))
-        least = keys.orderBy("k").limit(SAMPLE).agg(F.array_join(F.array_sort(F.collect_list("k")), ",").alias("sample"))
-        total = keys.agg(F.count("*").alias("findings"))
-        return total.crossJoin(F.broadcast(least)).select(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), F.lit(c.gate).alias("gate"), "findings", "sample")  # one row each
+    spark = checks[0].faults.sparkSession
+    keys = materialise(reduce(DataFrame.unionByName, (c.faults.select(F.lit(c.name).alias("check_name"), c.key.cast("string").alias("k")) for c in checks)))
+    listed = spark.createDataFrame([(c.name, c.severity, c.gate) for c in checks], "check_name string, severity string, gate boolean")
+    totals = keys.groupBy("check_name").agg(F.count("*").alias("findings"))
+    nth = F.row_number().over(Window.partitionBy("check_name").orderBy(F.asc_nulls_last("k")))
+    least = keys.withColumn("_n", nth).where(F.col("_n") <= sample).groupBy("check_name").agg(F.array_join(F.array_sort(F.collect_list("k")), ",").alias("sample"))
+    joined = listed.join(totals, "check_name", "left").join(least, "check_name", "left")
+    return joined.select("check_name", "severity", "gate", F.coalesce("findings", F.lit(0)).alias("findings"), F.coalesce("sample", F.lit("")).alias("sample"))
+
+
+def outside_range(values: DataFrame, bounds: DataFrame, on: str, value: str) -> DataFrame:
+    """Rows whose value lies outside the range expected of its kind (bounds: `on`, low, high; a null bound is open)."""
+    held = bounds.select(on, F.col("low").alias("_low"), F.col("high").alias("_high"))
+    return values.join(held, on).where((F.col(value) < F.col("_low")) | (F.col(value) > F.col("_high"))).drop("_low", "_high")
+
+
+def contradicts_unit(claims: DataFrame, value: str, is_percent: str, currency: str, unit: str) -> DataFrame:
+    """Claims whose value doesn't go with what it is measured in: a percentage of a currency, or a whole number like a year (1990 to 2025) without unit."""
+    v = F.col(value)
+    year = (v == F.floor(v)) & v.between(1990, 2025) & F.col(unit).isNull() & F.col(currency).isNull() & ~F.coalesce(F.col(is_percent), F.lit(False))
+    return claims.where((F.col(is_percent) & F.col(currency).isNotNull()) | year)
+
+
+def coverage(rows: DataFrame, parsed: Column, name: str = "parser_coverage") -> DataFrame:
+    """One info row: how many of the rows were parsed."""
+    counts = rows.agg(F.count("*").alias("total"), F.count_if(parsed).alias("parsed"))
+    return counts.select(F.lit(name).alias("check_name"), F.lit("info").alias("severity"), "parsed", "total", F.coalesce(F.round(F.try_divide(F.col("parsed"), F.col("total")), 6), F.lit(0.0)).alias("share"))
+
+
+def changed_bytes(stored: DataFrame, declared: DataFrame, deep: bool = False) -> DataFrame:
+    """Stored files (key, size_bytes, sha256) that aren't what was declared: missing, of another size, or, if `deep`, of another digest."""
+    d = declared.select("key", F.col("size_bytes").alias("_size"), F.col("sha256").alias("_digest"))
+    other = F.when(F.col("size_bytes").isNull(), "not_stored").when(F.col("size_bytes") != F.col("_size"), "size_differs")
+    if deep:
+        other = other.when(F.col("sha256") != F.col("_digest"), "digest_differs")
+    return d.join(stored.select("key", "size_bytes", "sha256"), "key", "left").select("key", other.alias("fault")).where("fault is not null")
+
 
-    return reduce(DataFrame.unionByName, map(one, checks))
+def undeclared(declared: list[str], checks: list[Check], spark: SparkSession) -> DataFrame:
+    """check_name, state of each check that is declared but not implemented, or implemented but not declared."""
+    names = {c.name for c in checks}
+    rows = [(n, "declared_only") for n in declared if n not in names] + [(n, "implemented_only") for n in sorted(names - set(declared))]
+    return spark.createDataFrame(rows, "check_name string, state string")
 
 
 def severity_rank(severity: Column) -> Column:

@@ -17,7 +17,7 @@ def resolve(keys: DataFrame, entities: DataFrame) -> DataFrame:
     case and outer blanks. One match is ``code`` or ``name``; several are ``ambiguous``, none ``unresolved``, both
     without an entity. Both tiers are equi-joins with the overlap as residual.
     """
-    k = keys.withColumn("_k", F.xxhash64("source_key", "label", "from", "to"))
+    k = keys.withColumn("_k", F.sha2(F.to_json(F.struct("source_key", "label", "from", "to")), 256))
     valid = overlaps(F.col("from"), F.col("to"), F.col("valid_from"), F.col("valid_to"))
 
     def tier(key, against, name: str) -> DataFrame:

@@ -58,7 +58,7 @@ def stage(spark: SparkSession, artifacts: DataFrame, raw: str, bronze: str, quar
 def load(spark: SparkSession, bronze: str, mapping: DataFrame, silver: str) -> dict[str, int]:
     """Typed claims of bronze fields, each kind a table of silver; rows written by table."""
     staged = spark.read.parquet(bronze)
-    key = F.xxhash64("artifact_id", "member", "source_key", "section_name", "field_name", "subfield_name", "ordinal")
+    key = F.sha2(F.to_json(F.struct("artifact_id", "member", "source_key", "section_name", "field_name", "subfield_name", "ordinal", "raw_text")), 256)
     out = loading.load(staged.withColumn("field_value_id", key), mapping)
     tables = {"observation": out.observations, "composition": out.members, "bilateral": out.partners, "point": out.points, "narrative": out.narratives, "rejected": out.rejected}
     return mart.refresh(tables, silver)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def replace_scope(df: DataFrame, path: str, scope: str) -> None:
@@ -33,9 +35,45 @@ def markdown(df: DataFrame, most: int = 400, plain: Sequence[str] = ()) -> str:
     return "\n".join([*lines, *("| " + " | ".join(cell(c, r[c]) for c in df.columns) + " |" for r in rows)])
 
 
-def csv_with_bom(df: DataFrame, path: str) -> None:
-    """One CSV file for people; the row order is the caller's."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").option("encoding", "UTF-8").csv(path)
+def _one_file(lines: DataFrame, path: str) -> None:
+    """The text lines of a report, in the order of their rows, as one file of the folder; reports are of bounded size."""
+    lines.coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
+
+
+def csv_with_bom(df: DataFrame, path: str, most: int = 1_000_000) -> None:
+    """One CSV file for spreadsheets: a byte order mark, a header, rows in the caller's order; refused beyond `most` rows, for which write.csv is meant."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"a report of more than {most} rows; write a table instead")
+
+    def quoted(c: str) -> Column:
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        return F.when(text.rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace(text, '"', '""'), F.lit('"'))).otherwise(text)
+
+    head = ",".join('"' + c.replace('"', '""') + '"' if set(c) & set('",\r\n') else c for c in df.columns)
+    rows = df.coalesce(1).select(F.concat_ws(",", *map(quoted, df.columns)).alias("value"))
+    first = df.sparkSession.range(1).select(F.lit("\ufeff" + head).alias("value"))
+    _one_file(first.unionByName(rows).coalesce(1), path)
+
+
+def json_lines(df: DataFrame, path: str) -> None:
+    """One JSON object a row, in as many files as df has partitions; nulls are left out."""
+    df.write.mode("overwrite").json(path)
+
+
+def sitemap(urls: DataFrame, path: str, url: str = "url", changed: str | None = None) -> None:
+    """A sitemap of the distinct urls, in order, as one file of the folder."""
+    escaped = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+    day = F.concat(F.lit("<lastmod>"), F.date_format(F.max(changed), "yyyy-MM-dd"), F.lit("</lastmod>")) if changed else F.lit("")
+    entries = urls.where(F.col(url).isNotNull()).groupBy(escaped(F.col(url)).alias("u")).agg(F.coalesce(day, F.lit("")).alias("d"))
+    wrap = urls.sparkSession.createDataFrame
+    numbered = entries.select(F.lit(1).alias("k"), "u", F.concat(F.lit("<url><loc>"), F.col("u"), F.lit("</loc>"), F.col("d"), F.lit("</url>")).alias("value"))
+    ends = wrap([(0, "", '<?xml version="1.0" encoding="UTF-8"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), (2, "", "</urlset>")], "k int, u string, value string")
+    _one_file(numbered.unionByName(ends).orderBy("k", "u").select("value"), path)
+
+
+def event(kind: str, **facts: object) -> str:
+    """A structured event as one line of JSON, keys in order."""
+    return json.dumps({"event": kind, **facts}, ensure_ascii=False, sort_keys=True, default=str)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -4,7 +4,7 @@ import json
 import pytest
 
 from tessera import pipeline
-from tessera.operators import constraints
+from tessera.operators import constraints, mart, quality
 
 TEXT = b"@Aland:Geography\nArea: 5 sq km (1999 est.)\nBorders: Beland 5 km; Celand 7 km\nLanguages: A 50%, B 40%\n"
 
@@ -84,3 +84,31 @@ def test_texts_are_loaded_whole(spark):
     whole, short = load(fields, rules), load(fields, rules, cut=True)
     assert whole.narratives.first().text == story and len(short.narratives.first().text) == 4000
     assert whole.rejected.first().raw_input == bad and len(short.rejected.first().raw_input) == 2000
+
+
+def test_refresh_keeps_the_tables_of_a_failed_job(spark, tmp_path):
+    folder = str(tmp_path / "mart")
+    assert mart.refresh({"d": spark.range(3).toDF("k")}, folder) == {"d": 3}
+    broken = spark.range(2).selectExpr("raise_error('no') as k")
+    with pytest.raises(Exception):
+        mart.refresh({"d": broken}, folder)
+    assert mart.current(spark, folder, "d").count() == 3
+    assert mart.refresh({"d": spark.range(5).toDF("k")}, folder) == {"d": 5} and mart.current(spark, folder, "d").count() == 5
+    stats = {r.column: r for r in mart.analyse(spark.createDataFrame([(1, None), (4, "x")], "a int, b string")).collect()}
+    assert (stats["a"].least, stats["a"].greatest, stats["b"].nulls, stats["b"].rows) == ("1", "4", 1, 2)
+
+
+def test_checks_of_values_and_bytes(spark):
+    bounds = spark.createDataFrame([("a", 0.0, 10.0), ("b", None, 5.0)], "kind string, low double, high double")
+    rows = spark.createDataFrame([(1, "a", -1.0), (2, "a", 10.0), (3, "b", 6.0), (4, "c", 1e9), (5, "a", None)], "id int, kind string, value double")
+    assert sorted(r.id for r in quality.outside_range(rows, bounds, "kind", "value").collect()) == [1, 3]
+    claims = spark.createDataFrame([(1, 5.0, True, "USD", None), (2, 2001.0, False, None, None), (3, 2001.0, False, None, "km"), (4, 2001.5, False, None, None), (5, None, None, None, None), (6, 2025.0, None, None, None)], "id int, v double, p boolean, c string, u string")
+    assert sorted(r.id for r in quality.contradicts_unit(claims, "v", "p", "c", "u").collect()) == [1, 2, 6]
+    stored = spark.createDataFrame([("x", 5, "d1"), ("y", 6, "d2"), ("z", 7, "d3")], "key string, size_bytes long, sha256 string")
+    declared = spark.createDataFrame([("x", 5, "d1"), ("y", 9, "d2"), ("z", 7, "other"), ("w", 1, "d4")], "key string, size_bytes long, sha256 string")
+    assert {tuple(r) for r in quality.changed_bytes(stored, declared).collect()} == {("y", "size_differs"), ("w", "not_stored")}
+    assert {tuple(r) for r in quality.changed_bytes(stored, declared, deep=True).collect()} == {("y", "size_differs"), ("w", "not_stored"), ("z", "digest_differs")}
+    checks = [quality.Check("one", "error", rows.where("id < 3"), rows.id, gate=True), quality.Check("none", "info", rows.where("false"), rows.id)]
+    assert [tuple(r) for r in quality.run(checks, 1).orderBy("check_name").collect()] == [("none", "info", False, 0, ""), ("one", "error", True, 2, "1")]
+    assert {tuple(r) for r in quality.undeclared(["one", "two"], checks, spark).collect()} == {("two", "declared_only"), ("none", "implemented_only")}
+    assert tuple(quality.coverage(rows, rows.value.isNotNull()).first()) == ("parser_coverage", "info", 4, 5, 0.8) and quality.coverage(rows.where("false"), rows.id > 0).first().share == 0
