@@ -314,31 +314,62 @@ def normalise(claims: DataFrame, metric: DataFrame, unit_reference: DataFrame, m
     }).drop("_a")
 
 
-def equal_amounts(amounts: DataFrame, key: Column, id_column: str, amount: str, tolerance: float = 0.005) -> DataFrame:
-    """Pairs (a < b) of rows of one key whose amounts differ by less than `tolerance` of the larger.
+#: Members of a class that meet those of another in one task.
+BLOCK = 1_000
 
-    A band join: |amount| falls into logarithmic bands a tolerance wide, so partners lie in the same or the next band;
-    rows meet by (key, sign, band) only, never all rows of a key. Zeros and nulls have no partners. A band that holds
-    very many rows is split further by AQE's skew join.
+
+class EqualAmounts:
+    """Rows of one key whose amounts differ by less than `tolerance` of the larger, as classes of rows and links between classes.
+
+    A class holds the rows of one key with the very same amount, so copies, however many, are one row of the join. It is
+    a band join: |amount| falls into logarithmic bands a tolerance wide, so partners lie in the same or the next band and
+    classes meet by (key, sign, band) only. Zeros and nulls have no partners and no class.
+
+    members: <id>, class_id (the least id of the class). classes: class_id, rows. links: class_a, class_b, each pair of
+    different classes once. Ids are unique.
     """
-    width = -math.log1p(-tolerance) * 1.0001
-    rows = amounts.where(F.col(amount).isNotNull() & (F.col(amount) != 0)).select(
-        key.alias("_k"), F.signum(amount).cast("int").alias("_s"), F.floor(F.log(F.abs(F.col(amount))) / width).alias("_b"),
-        F.col(id_column).alias("_id"), F.abs(F.col(amount)).alias("_v"),
-    )
-    left = rows.select("_k", "_s", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)).alias("_b"), F.col("_id").alias("_ia"), F.col("_v").alias("_va"))
-    right = rows.select("_k", "_s", "_b", F.col("_id").alias("_ib"), F.col("_v").alias("_vb"))
-    near = F.abs(F.col("_va") - F.col("_vb")) < tolerance * F.greatest("_va", "_vb")
-    return left.join(right, ["_k", "_s", "_b"]).where((F.col("_ia") < F.col("_ib")) & near).select(F.col("_ia").alias(f"{id_column}_a"), F.col("_ib").alias(f"{id_column}_b"))
+
+    def __init__(self, amounts: DataFrame, key: list[str], id_column: str, amount: str, tolerance: float = 0.005):
+        self.id = id_column
+        width = -math.log1p(-tolerance) * 1.0001
+        rows = amounts.where(F.col(amount).isNotNull() & (F.col(amount) != 0)).select(*key, F.col(amount).alias("_a"), F.col(id_column).alias("_id"))
+        of_class = [*key, "_a"]
+        grouped = rows.groupBy(*of_class).agg(F.min("_id").alias("class_id"), F.count("*").alias("rows"))
+        self._grouped = materialise(grouped.select("*", F.abs("_a").alias("_v"), F.signum("_a").cast("int").alias("_s"), F.floor(F.log(F.abs("_a")) / width).alias("_b")))
+        self.classes = self._grouped.select("class_id", "rows")
+        self.members = rows.join(self._grouped.select(*of_class, "class_id", "rows"), of_class).select(F.col("_id").alias(id_column), "class_id", "rows")
+        left = self._grouped.select(*key, "_s", F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"), F.col("_b").alias("_own"), F.col("class_id").alias("class_a"), F.col("_v").alias("_va"), F.col("rows").alias("rows_a"))
+        right = self._grouped.select(*key, "_s", "_b", F.col("class_id").alias("class_b"), F.col("_v").alias("_vb"), F.col("rows").alias("rows_b"))
+        near = F.abs(F.col("_va") - F.col("_vb")) < tolerance * F.greatest("_va", "_vb")
+        once = (F.col("_own") != F.col("_b")) | (F.col("_va") < F.col("_vb"))  # within a band the smaller amount comes first
+        self.links = left.join(right, [*key, "_s", "_b"]).where(near & once).select("class_a", "class_b", "rows_a", "rows_b")
+
+    def counted(self) -> DataFrame:
+        """One row per row with an amount: <id>, class_id, copies (rows of its class), links (rows it agrees with)."""
+        both = self.links.select(F.col("class_a").alias("class_id"), F.col("rows_b").alias("n")).unionByName(self.links.select(F.col("class_b").alias("class_id"), F.col("rows_a").alias("n")))
+        others = both.groupBy("class_id").agg(F.sum("n").alias("_n"))
+        joined = self.members.join(others, "class_id", "left")
+        return joined.select(self.id, "class_id", F.col("rows").alias("copies"), (F.col("rows") - 1 + F.coalesce("_n", F.lit(0))).alias("links"))
+
+    def pairs(self) -> DataFrame:
+        """Every pair (a < b) of rows, by request: links and classes expanded, in blocks of at most about BLOCK by BLOCK rows."""
+        blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+        members = self.members.select(F.col(self.id).alias("_id"), "class_id", F.pmod(F.xxhash64(self.id), blocks("rows")).cast("int").alias("block"))
+        within = self.classes.where("rows > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"), F.col("rows").alias("rows_a"), F.col("rows").alias("rows_b"))
+        met = self.links.unionByName(within).withColumn("block_a", F.explode(F.sequence(F.lit(0), blocks("rows_a") - 1))).withColumn("block_b", F.explode(F.sequence(F.lit(0), blocks("rows_b") - 1)))
+        side = lambda x: members.select(F.col("class_id").alias(f"class_{x}"), F.col("block").alias(f"block_{x}"), F.col("_id").alias(f"_i{x}"))
+        full = met.select("class_a", "class_b", "block_a", "block_b").join(side("a"), ["class_a", "block_a"]).join(side("b"), ["class_b", "block_b"])
+        found = full.where((F.col("class_a") != F.col("class_b")) | (F.col("_ia") < F.col("_ib")))
+        return found.select(F.least("_ia", "_ib").alias(f"{self.id}_a"), F.greatest("_ia", "_ib").alias(f"{self.id}_b"))
 
 
 #: Columns that name what a claim is about.
 CLAIM_KEY = ("dataset_code", "source_key", "metric_code", "reference_year")
 
 
-def agreeing_claims(parsed_value: DataFrame, metric: DataFrame, unit_reference: DataFrame) -> DataFrame:
-    """Pairs of claims about the same thing with the same amount; rows with a null in the key pair with none."""
+def agreeing_claims(parsed_value: DataFrame, metric: DataFrame, unit_reference: DataFrame) -> EqualAmounts:
+    """Claims about the same thing with the same amount; rows with a null in the key agree with none."""
     claims = parsed_value.dropna(subset=list(CLAIM_KEY)).select("parsed_value_id", *CLAIM_KEY, "raw", "unit_hint", "scale_word", "currency")
-    # both sides of the band join need the amounts: they are worked out once, as a narrow table in the shared folder
+    # amounts are worked out once, as a narrow table in the shared folder
     amounts = materialise(normalise(claims, metric, unit_reference).select("parsed_value_id", *CLAIM_KEY, "base_amount"))
-    return equal_amounts(amounts, F.struct(*CLAIM_KEY), "parsed_value_id", "base_amount")
+    return EqualAmounts(amounts, list(CLAIM_KEY), "parsed_value_id", "base_amount")

@@ -50,7 +50,12 @@ def _claims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of claims about the same thing whose amounts agree in the base unit."""
-    return units.agreeing_claims(*_claims(spark, d))
+    return units.agreeing_claims(*_claims(spark, d)).pairs()
+
+
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every claim with an amount: its class of equal amounts, the rows of the class and the number of claims it agrees with."""
+    return units.agreeing_claims(*_claims(spark, d)).counted()
 
 
 def p4_amounts(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +80,7 @@ def p5_members(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_failures": p1_failures, "p1_valid": p1_valid, "p3_found": p3_found, "p3_lifespans": p3_lifespans, "p3_table": p3_table,
-    "p4_found": p4_found, "p4_amounts": p4_amounts, "p5_found": p5_found, "p5_members": p5_members,
+    "p4_found": p4_found, "p4_classes": p4_classes, "p4_amounts": p4_amounts, "p5_found": p5_found, "p5_members": p5_members,
 }
 _LINES = r"""
 WITH f AS (SELECT artifact_id, max(delimiter) AS delimiter FROM artifact GROUP BY artifact_id),

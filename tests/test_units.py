@@ -55,17 +55,24 @@ def test_long_text():
     assert read("word " * 5000, "length").amount is None
 
 
-def test_equal_amounts_against_brute_force(spark):
+@pytest.mark.parametrize("block", [7, 1000])
+def test_equal_amounts_against_brute_force(spark, monkeypatch, block):
     import random
 
+    monkeypatch.setattr(u, "BLOCK", block)
     rng = random.Random(5)
     rows = [(k, rng.choice("ab"), rng.choice([None, 0.0, rng.uniform(95, 105), rng.uniform(95, 105), -rng.uniform(95, 105), 1e-9, 1e15])) for k in range(300)]
-    rows += [(k + 300, "hot", 7.0) for k in range(40)]
-    from pyspark.sql import functions as F
-
-    got = {tuple(r) for r in u.equal_amounts(spark.createDataFrame(rows, "id long, k string, v double"), F.col("k"), "id", "v").collect()}
+    rows += [(k + 300, "hot", 7.0 if k % 2 else 7.01) for k in range(80)]
+    found = u.EqualAmounts(spark.createDataFrame(rows, "id long, k string, v double"), ["k"], "id", "v")
     want = {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and a[2] and b[2] and abs(a[2] - b[2]) < 0.005 * max(abs(a[2]), abs(b[2])) and a[2] * b[2] > 0}
-    assert got == want
+    got = [tuple(r) for r in found.pairs().collect()]
+    assert set(got) == want and len(got) == len(want)
+    counted = {r.id: r for r in found.counted().collect()}
+    assert set(counted) == {r[0] for r in rows if r[2]}
+    assert all(r.links == sum(i in p for p in want) for i, r in counted.items())
+    assert counted[300].copies == 40 and counted[300].class_id == 300 and counted[301].class_id == 301 and counted[300].links == 79
+    none = u.EqualAmounts(spark.createDataFrame([], "id long, k string, v double"), ["k"], "id", "v")
+    assert none.pairs().count() == none.counted().count() == 0
 
 
 def test_normalise_nulls_and_clashes(spark):
