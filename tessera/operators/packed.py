@@ -113,14 +113,14 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
     at, end = 0, len(text)
     brackets = _brackets(text) if "(" in text or "[" in text else {}
     hopeless: set[str] = set()  # quotes that close nowhere in the rest of the text
-    size = 0
+    lead, gap = "", False  # what stands before a mark, while it could be nothing or "and", and whether blanks follow it
     bare: list[str] = []
     notes: list[str] = []
     quoted: str | None = None
     flag: str | None = None
 
     def finish() -> None:
-        nonlocal bare, notes, quoted, flag, size
+        nonlocal bare, notes, quoted, flag, lead, gap
         rest = "".join(bare).strip()
         if rest.lower().startswith("and ") and (found or quoted is None):
             rest = rest[4:].lstrip()
@@ -133,12 +133,20 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
         label = quoted.strip() if quoted is not None else " ".join(rest.split())
         if label:
             found.append(Member(len(found) + 1, label, " ".join(notes) or None, amount, flag))
-        bare, notes, quoted, flag, size = [], [], None, None, 0
+        bare, notes, quoted, flag, lead, gap = [], [], None, None, "", False
+
+    def add(piece: str) -> None:
+        nonlocal lead, gap
+        bare.append(piece)
+        if piece.isspace():
+            gap = True
+        elif len(lead) <= 3:
+            lead = f"{lead} {piece.lstrip()}" if lead and (gap or piece[0].isspace()) else lead + piece.lstrip()
+            gap = piece[-1].isspace()
 
     while at < end:
         if m := _PLAIN.match(text, at):
-            bare.append(m.group())
-            size += len(m.group())
+            add(m.group())
             at = m.end()
             continue
         c = text[at]
@@ -147,7 +155,7 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
             at = to
             continue
         if c in QUOTES:
-            opens = quoted is None and size < 16 and "".join(bare).strip().lower() in ("", "and")
+            opens = quoted is None and lead.rstrip().lower() in ("", "and")
             if opens and c not in hopeless and (q := _quoted(text, at)) is not None:
                 quoted, at = q
                 continue
@@ -161,8 +169,7 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
                 at = to
                 continue
             flag = "unbalanced_bracket"
-        bare.append(c)
-        size += 1
+        add(c)
         at += 1
     finish()
     return found
