@@ -121,7 +121,7 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
 
     def finish() -> None:
         nonlocal bare, notes, quoted, flag, lead, gap
-        rest = "".join(bare).strip()
+        rest = " ".join("".join(bare).split())  # the pattern of amounts never meets a run of blanks
         if rest.lower().startswith("and ") and (found or quoted is None):
             rest = rest[4:].lstrip()
         elif quoted is not None and rest.lower() == "and":
@@ -169,8 +169,11 @@ def members(text: str | None, absences: Iterable[str] = ABSENCES) -> list[Member
                 at = to
                 continue
             flag = "unbalanced_bracket"
-        add(c)
-        at += 1
+        to = at + 1
+        while c == " " and to < end and text[to] == " ":
+            to += 1  # no separator begins within a run of blanks if none does at its first
+        add(text[at:to])
+        at = to
     finish()
     return found
 

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-import random
 
 from tessera.operators import packed
 from tessera.operators.packed import members
@@ -82,7 +81,6 @@ def test_hostile_texts_take_linear_time():
 
 @pytest.mark.parametrize("blanks", [0, 3, 20, 5000])
 def test_blanks_before_a_quote_change_nothing(blanks):
-    labels = lambda t: [m.label for m in packed.members(t)]
     assert labels(" " * blanks + '"Alpha, Beta"; Gamma') == ["Alpha, Beta", "Gamma"]
     assert labels("Alpha; and " + " " * blanks + '"Beta, Gamma"') == ["Alpha", "Beta, Gamma"]
     assert labels("an" + " " * (blanks + 1) + 'd "Alpha, Beta"') == labels('an d "Alpha, Beta"')
