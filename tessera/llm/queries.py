@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise, table
@@ -50,9 +50,15 @@ def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").alias("n_tokens"), (bpe.decode_column(F.col("ids")) == F.col("text")).alias("same"))
 
 
-def _mixture(spark: SparkSession, d: str, total: float | str | None = "exact") -> mixture.Mixture:
+def _mixture(spark: SparkSession, d: str, total: float | str | None = "exact", weight: Column | None = None) -> mixture.Mixture:
     # "exact": the largest mixture in which every source with records has its share exactly; None: the size of the corpus
-    return mixture.Mixture(mixture.sized(table(spark, d, "documents")), table(spark, d, "mix_target"), total=total)
+    return mixture.Mixture(mixture.sized(table(spark, d, "documents"), weight=weight), table(spark, d, "mix_target"), total=total)
+
+
+def _quality_weight() -> Column:
+    """A record's relative weight: texts with a title and a section count more, short ones less; unequal within every source."""
+    named = F.lit(1.0) + F.col("title").isNotNull().cast("double") + F.col("section_name").isNotNull().cast("double")
+    return named * F.least(F.lit(1.0), F.coalesce(F.col("n_chars"), F.lit(0)) / 400.0)
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -75,6 +81,26 @@ def p8_shares_corpus(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d, None).shares()
 
 
+def p8_mixture_weighted(spark: SparkSession, d: str) -> DataFrame:
+    """As p8_mixture_corpus, records drawn by weight: inclusion odds are unequal within a source."""
+    m = _mixture(spark, d, None, _quality_weight())
+    return m.chosen.withColumnRenamed("id", "doc_id")
+
+
+def p8_shares_weighted(spark: SparkSession, d: str) -> DataFrame:
+    """Target, given and reached size of each source of the weighted mixture."""
+    return _mixture(spark, d, None, _quality_weight()).shares()
+
+
+#: Tokens of a mixture too large for every source but the widest, so max_repeats binds.
+LARGE = 1e12
+
+
+def p8_shares_large(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of a mixture of LARGE tokens: every source is given max_repeats times its size."""
+    return _mixture(spark, d, LARGE).shares().select("source", "target_share", "max_repeats", "records", "copies", "most_copies", "tokens", "reached_tokens")
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """doc_id of each document with residue."""
     return residue.flagged(table(spark, d, "documents")).select("doc_id")
@@ -93,7 +119,7 @@ def p9_kept(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found, "p2_clean": p2_clean, "p6_found": p6_found, "p6_records": p6_records, "p7_ids": p7_ids, "p7_roundtrip": p7_roundtrip,
-    "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p8_mixture_corpus": p8_mixture_corpus, "p8_shares_corpus": p8_shares_corpus, "p9_found": p9_found, "p9_reasons": p9_reasons, "p9_kept": p9_kept,
+    "p8_mixture": p8_mixture, "p8_shares": p8_shares, "p8_mixture_corpus": p8_mixture_corpus, "p8_shares_corpus": p8_shares_corpus, "p8_mixture_weighted": p8_mixture_weighted, "p8_shares_weighted": p8_shares_weighted, "p8_shares_large": p8_shares_large, "p9_found": p9_found, "p9_reasons": p9_reasons, "p9_kept": p9_kept,
 }
 
 

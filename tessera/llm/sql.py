@@ -15,7 +15,4 @@ SQL = {
     "p6_records": _ITEMS
     + """SELECT kept AS item_id_kept, arg_min(raw_name, item_id) AS name, arg_min(raw_url, item_id) FILTER (WHERE item_id = kept) AS url, arg_min(raw_attrs, item_id) AS attrs,
   count(*) AS copies, count(DISTINCT (raw_name, raw_url, raw_attrs)) AS variants FROM g GROUP BY kept""",
-    "p7_roundtrip": None,
-    "p9_kept": None,
 }
-SQL = {k: v for k, v in SQL.items() if v}
