@@ -325,41 +325,51 @@ class EqualAmounts:
     a band join: |amount| falls into logarithmic bands a tolerance wide, so partners lie in the same or the next band and
     classes meet by (key, sign, band) only. Zeros and nulls have no partners and no class.
 
-    members: <id>, class_id (the least id of the class). classes: class_id, rows. links: class_a, class_b, each pair of
-    different classes once. Ids are unique.
+    Classes of more than BLOCK rows are split by their ids into blocks of about BLOCK, so no group is unbounded; blocks
+    carry the ids of their rows through the join. Ids are unique.
     """
 
     def __init__(self, amounts: DataFrame, key: list[str], id_column: str, amount: str, tolerance: float = 0.005):
-        self.id = id_column
+        self.id, self.key = id_column, key
         width = -math.log1p(-tolerance) * 1.0001
-        rows = amounts.where(F.col(amount).isNotNull() & (F.col(amount) != 0)).select(*key, F.col(amount).alias("_a"), F.col(id_column).alias("_id"))
+        self.rows = amounts.where(F.col(amount).isNotNull() & (F.col(amount) != 0)).select(*key, F.col(amount).alias("_a"), F.col(id_column).alias("_id"))
         of_class = [*key, "_a"]
-        grouped = rows.groupBy(*of_class).agg(F.min("_id").alias("class_id"), F.count("*").alias("rows"))
-        self._grouped = materialise(grouped.select("*", F.abs("_a").alias("_v"), F.signum("_a").cast("int").alias("_s"), F.floor(F.log(F.abs("_a")) / width).alias("_b")))
-        self.classes = self._grouped.select("class_id", "rows")
-        self.members = rows.join(self._grouped.select(*of_class, "class_id", "rows"), of_class).select(F.col("_id").alias(id_column), "class_id", "rows")
-        left = self._grouped.select(*key, "_s", F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"), F.col("_b").alias("_own"), F.col("class_id").alias("class_a"), F.col("_v").alias("_va"), F.col("rows").alias("rows_a"))
-        right = self._grouped.select(*key, "_s", "_b", F.col("class_id").alias("class_b"), F.col("_v").alias("_vb"), F.col("rows").alias("rows_b"))
-        near = F.abs(F.col("_va") - F.col("_vb")) < tolerance * F.greatest("_va", "_vb")
+        # only classes of more than BLOCK rows come out, so the join is with a short table
+        large = self.rows.groupBy(*of_class).agg(F.count("*").alias("_n")).where(F.col("_n") > BLOCK).select(*of_class, F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
+        block = F.pmod(F.xxhash64("_id"), F.coalesce("_blocks", F.lit(1))).cast("int")
+        grouped = self.rows.join(materialise(large), of_class, "left").groupBy(*of_class, block.alias("block")).agg(F.collect_list("_id").alias("ids"))
+        self.blocks = materialise(grouped.select("*", F.abs("_a").alias("_v"), F.signum("_a").cast("int").alias("_s"), F.floor(F.log(F.abs("_a")) / width).alias("_b")))
+        self._tolerance = tolerance
+
+    def _met(self, blocks: DataFrame, *carried: str) -> DataFrame:
+        """Pairs of blocks of different classes that agree, each once, with the carried columns of both as <name>_a and <name>_b."""
+        sides = [blocks.select(*self.key, "_s", "_b", F.col("_v").alias(f"_v{x}"), *(F.col(c).alias(f"{c}_{x}") for c in carried)) for x in "ab"]
+        left = sides[0].withColumn("_own", F.col("_b")).withColumn("_b", F.explode(F.array("_b", F.col("_b") + 1)))
+        near = F.abs(F.col("_va") - F.col("_vb")) < self._tolerance * F.greatest("_va", "_vb")
         once = (F.col("_own") != F.col("_b")) | (F.col("_va") < F.col("_vb"))  # within a band the smaller amount comes first
-        self.links = left.join(right, [*key, "_s", "_b"]).where(near & once).select("class_a", "class_b", "rows_a", "rows_b")
+        return left.join(sides[1], [*self.key, "_s", "_b"]).where(near & once)
 
     def counted(self) -> DataFrame:
-        """One row per row with an amount: <id>, class_id, copies (rows of its class), links (rows it agrees with)."""
-        both = self.links.select(F.col("class_a").alias("class_id"), F.col("rows_b").alias("n")).unionByName(self.links.select(F.col("class_b").alias("class_id"), F.col("rows_a").alias("n")))
-        others = both.groupBy("class_id").agg(F.sum("n").alias("_n"))
-        joined = self.members.join(others, "class_id", "left")
-        return joined.select(self.id, "class_id", F.col("rows").alias("copies"), (F.col("rows") - 1 + F.coalesce("_n", F.lit(0))).alias("links"))
+        """One row per row with an amount: <id>, class_id (the least id of its class), copies (rows of its class), links (rows it agrees with)."""
+        of_class = [*self.key, "_a"]
+        classes = self.blocks.groupBy(*of_class, "_s", "_b", "_v").agg(F.min(F.array_min("ids")).alias("class_id"), F.sum(F.size("ids")).alias("copies"))
+        links = materialise(self._met(classes, "class_id", "copies").select("class_id_a", "class_id_b", "copies_a", "copies_b"))
+        both = links.select(F.col("class_id_a").alias("class_id"), F.col("copies_b").alias("n")).unionByName(links.select(F.col("class_id_b").alias("class_id"), F.col("copies_a").alias("n")))
+        counted = classes.join(both.groupBy("class_id").agg(F.sum("n").alias("_n")), "class_id", "left")
+        wide = self.blocks.select(*of_class, "ids").join(counted.select(*of_class, "class_id", "copies", (F.col("copies") - 1 + F.coalesce("_n", F.lit(0))).alias("links")), of_class)
+        return wide.select(F.explode("ids").alias(self.id), "class_id", "copies", "links")
 
     def pairs(self) -> DataFrame:
-        """Every pair (a < b) of rows, by request: links and classes expanded, in blocks of at most about BLOCK by BLOCK rows."""
-        blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-        members = self.members.select(F.col(self.id).alias("_id"), "class_id", F.pmod(F.xxhash64(self.id), blocks("rows")).cast("int").alias("block"))
-        within = self.classes.where("rows > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"), F.col("rows").alias("rows_a"), F.col("rows").alias("rows_b"))
-        met = self.links.unionByName(within).withColumn("block_a", F.explode(F.sequence(F.lit(0), blocks("rows_a") - 1))).withColumn("block_b", F.explode(F.sequence(F.lit(0), blocks("rows_b") - 1)))
-        side = lambda x: members.select(F.col("class_id").alias(f"class_{x}"), F.col("block").alias(f"block_{x}"), F.col("_id").alias(f"_i{x}"))
-        full = met.select("class_a", "class_b", "block_a", "block_b").join(side("a"), ["class_a", "block_a"]).join(side("b"), ["class_b", "block_b"])
-        found = full.where((F.col("class_a") != F.col("class_b")) | (F.col("_ia") < F.col("_ib")))
+        """Every pair (a < b) of rows: links and classes expanded, by blocks."""
+        of_class = [*self.key, "_a"]
+        apart = self._met(self.blocks, "ids").select("ids_a", "ids_b")
+        alone = self.blocks.where(F.size("ids") > 1).select(F.col("ids").alias("ids_a"), F.col("ids").alias("ids_b"))
+        split = self.blocks.select(*of_class, "block", "ids").join(self.blocks.where("block > 0").select(*of_class).distinct(), of_class, "left_semi")
+        blocks = [split.select(*of_class, F.col("block").alias(f"_k{x}"), F.col("ids").alias(f"ids_{x}")) for x in "ab"]
+        across = blocks[0].join(blocks[1], of_class).where("_ka < _kb").select("ids_a", "ids_b")
+        one = F.explode("ids_a").alias("_ia")
+        expand = lambda df, same: df.select(one, "ids_b").select("_ia", F.explode(F.filter("ids_b", lambda i: i > F.col("_ia")) if same else F.col("ids_b")).alias("_ib"))
+        found = expand(apart, False).unionByName(expand(across, False)).unionByName(expand(alone, True))
         return found.select(F.least("_ia", "_ib").alias(f"{self.id}_a"), F.greatest("_ia", "_ib").alias(f"{self.id}_b"))
 
 
