@@ -280,7 +280,7 @@ def read_amount(raw: str | None, hint: str | None, scale_word: str | None, curre
     return Amount(amount, unit, None) if math.isfinite(amount) else Amount(None, unit, "out_of_range")
 
 
-AMOUNT = T.StructType([T.StructField("amount", T.DoubleType()), T.StructField("unit", T.StringType()), T.StructField("reason", T.StringType())])
+AMOUNT = T.StructType([T.StructField("amount", T.DoubleType()), T.StructField("unit", T.StringType()), T.StructField("reason", T.StringType()), T.StructField("base", T.StringType())])
 
 
 def amount_column(metrics: Mapping[str, tuple[str, str]], units: Mapping[str, tuple[str, float]]):
@@ -291,8 +291,8 @@ def amount_column(metrics: Mapping[str, tuple[str, str]], units: Mapping[str, tu
     @F.pandas_udf(AMOUNT)
     def amount(raw: pd.Series, hint: pd.Series, scale: pd.Series, currency: pd.Series, metric: pd.Series) -> pd.DataFrame:
         text = lambda v: v if isinstance(v, str) else None
-        out = [read_amount(text(r), text(h), text(s), text(c), *metrics.get(m, (None, None)), factors, known) for r, h, s, c, m in zip(raw, hint, scale, currency, metric)]
-        return pd.DataFrame(out, columns=["amount", "unit", "reason"], dtype=object)
+        out = [(*read_amount(text(r), text(h), text(s), text(c), *metrics.get(m, (None, None)), factors, known), metrics.get(m, (None, None))[1]) for r, h, s, c, m in zip(raw, hint, scale, currency, metric)]
+        return pd.DataFrame(out, columns=["amount", "unit", "reason", "base"], dtype=object)
 
     return amount
 
@@ -306,11 +306,10 @@ def normalise(claims: DataFrame, metric: DataFrame, unit_reference: DataFrame, m
     metrics = {r.metric_code: (r.quantity_kind, r.base_unit) for r in small(metric.select("metric_code", "quantity_kind", "base_unit"), most, "metric")}
     units = {r.unit_code: (r.quantity_kind, r.factor_to_base) for r in small(unit_reference.select("unit_code", "quantity_kind", "factor_to_base"), most, "unit_reference") if r.unit_code and r.factor_to_base is not None}
     read = amount_column(metrics, units)
-    base = F.create_map(*[F.lit(x) for code, (_, unit) in metrics.items() for x in (code, unit)]) if metrics else F.lit(None)
     with_amount = claims.withColumn("_a", read(*(F.col(c).cast("string") for c in ("raw", "unit_hint", "scale_word", "currency", "metric_code"))))
     return with_amount.withColumns({
         "base_amount": F.col("_a.amount"), "read_unit": F.col("_a.unit"), "amount_reason": F.col("_a.reason"),
-        "base_unit": F.try_element_at(base, F.col("metric_code")) if metrics else base.cast("string"),
+        "base_unit": F.col("_a.base"),
     }).drop("_a")
 
 

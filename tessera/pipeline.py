@@ -40,17 +40,14 @@ def stage(spark: SparkSession, artifacts: DataFrame, raw: str, bronze: str, quar
     names are quarantined, not parsed. One bad file never stops the others.
     """
     stored = artifacts.where(F.col("parser_family").isin(*FAMILIES)).select("artifact_id", "parser_family", "sha256", "edition_year", "dataset_code")
-    have = entries.digests(spark, raw).select(F.col("path").alias("file"), F.col("sha256").alias("actual"), F.element_at(F.split("path", "/"), -2).alias("sha256"))
-    known = have.join(stored, "sha256")
-    parts = [entries.scan(spark, raw, family).join(known.where((F.col("parser_family") == family) & (F.col("actual") == F.col("sha256"))), "file") for family in FAMILIES]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    rows = materialise(rows)
-    fields = rows.where("error_code is null").drop("error_code", "reason", "actual", "sha256")
-    broken = known.where("actual <> sha256").select("artifact_id", "file", F.lit("digest_mismatch").alias("error_code"), F.lit("bytes differ from the manifest").alias("reason"))
-    absent = stored.join(have.select("sha256"), "sha256", "left_anti").select("artifact_id", F.lit(None).cast("string").alias("file"), F.lit("artifact_not_stored").alias("error_code"), F.lit("no bytes at the digest's place").alias("reason"))
-    failures = rows.where("error_code is not null").select("artifact_id", "file", "error_code", "reason").unionByName(broken).unionByName(absent)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw)
+    named = files.withColumn("sha256", F.element_at(F.split("path", "/"), -2))
+    # only the files that are wanted are opened, each once; the list of wanted digests is narrow and Spark broadcasts it while it is small
+    wanted = named.join(stored.select("sha256", F.col("parser_family").alias("family")).distinct(), "sha256")
+    rows = materialise(entries.parse_named(wanted)).withColumnRenamed("family", "parser_family").join(stored, ["sha256", "parser_family"])
+    fields = rows.where("error_code is null").drop("error_code", "reason", "sha256")
+    absent = stored.join(named.select("sha256"), "sha256", "left_anti").select("artifact_id", F.lit(None).cast("string").alias("file"), F.lit("artifact_not_stored").alias("error_code"), F.lit("no bytes at the digest's place").alias("reason"))
+    failures = rows.where("error_code is not null").select("artifact_id", "file", "error_code", "reason").unionByName(absent)
     sinks.replace_scope(fields, bronze, "artifact_id")
     sinks.replace_scope(failures, quarantine, "artifact_id")
 

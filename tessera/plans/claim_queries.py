@@ -94,7 +94,7 @@ def rank_top20(s: SparkSession, d: str) -> DataFrame:
 def provenance_walk(s: SparkSession, d: str) -> DataFrame:
     """From a claim through entity and metric to the file it was published in, with the entity's first staged field. #38, #39"""
     p = t(s, d, "parsed_value").select("parsed_value_id", "dataset_code", "edition_year", "source_key", "metric_code", "raw")
-    a = t(s, d, "artifact").where("parser_family <> 'delimited_export'").select("artifact_id", "dataset_code", "edition_year", "filename")
+    a = t(s, d, "artifact").where("parser_family <> 'delimited_export' or parser_family is null").select("artifact_id", "dataset_code", "edition_year", "filename")
     e, m = t(s, d, "entity").select("source_key", "label"), t(s, d, "metric").select("metric_code", c("label").alias("metric_label"), "base_unit")
     first = claims.best_per(t(s, d, "raw_field"), "source_key", c("field_value_id"), [c("artifact_id"), c("field_value_id")]).withColumnRenamed("best", "first_field")
     return p.join(a, ["dataset_code", "edition_year"]).join(e, "source_key", "left").join(m, "metric_code", "left").join(first, "source_key", "left")
@@ -313,7 +313,7 @@ SQL = {
     "yoy_change": "WITH y AS (SELECT r_name, CAST(year(o_orderdate) AS INT) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL), l AS (SELECT *, lag(v) OVER (PARTITION BY r_name ORDER BY year) AS b FROM y) SELECT r_name, year, CAST(v AS DOUBLE) AS revenue, CAST(v - b AS DOUBLE) AS absolute_change, round(100 * (CAST(v - b AS DOUBLE) / nullif(CAST(b AS DOUBLE), 0)), 2) AS percent_change FROM l",
     "thirty_by_thirty": "SELECT parsed_value_id, source_key, label, reference_year, raw FROM parsed_value JOIN (SELECT source_key, label FROM entity ORDER BY source_key LIMIT 30) USING (source_key) WHERE metric_code = 'geo.surface' AND reference_year BETWEEN 1990 AND 2020",
     "rank_top20": "SELECT s_suppkey, s_name, CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4))) AS DOUBLE) AS revenue FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE year(l_shipdate) = 1996 GROUP BY ALL ORDER BY 3 DESC, 1 LIMIT 20",
-    "provenance_walk": "SELECT p.parsed_value_id, p.dataset_code, p.edition_year, p.source_key, p.metric_code, p.raw, a.artifact_id, a.filename, e.label, m.label AS metric_label, m.base_unit, f.first_field FROM parsed_value p JOIN artifact a ON p.dataset_code = a.dataset_code AND p.edition_year = a.edition_year AND a.parser_family <> 'delimited_export' LEFT JOIN entity e ON p.source_key = e.source_key LEFT JOIN metric m ON p.metric_code = m.metric_code LEFT JOIN (SELECT source_key, arg_min(field_value_id, (artifact_id, field_value_id)) AS first_field FROM raw_field GROUP BY 1) f ON f.source_key = p.source_key",
+    "provenance_walk": "SELECT p.parsed_value_id, p.dataset_code, p.edition_year, p.source_key, p.metric_code, p.raw, a.artifact_id, a.filename, e.label, m.label AS metric_label, m.base_unit, f.first_field FROM parsed_value p JOIN artifact a ON p.dataset_code = a.dataset_code AND p.edition_year = a.edition_year AND a.parser_family IS DISTINCT FROM 'delimited_export' LEFT JOIN entity e ON p.source_key = e.source_key LEFT JOIN metric m ON p.metric_code = m.metric_code LEFT JOIN (SELECT source_key, arg_min(field_value_id, (artifact_id, field_value_id)) AS first_field FROM raw_field GROUP BY 1) f ON f.source_key = p.source_key",
     "dataset_coverage": "SELECT a.artifact_id, a.dataset_code, a.edition_year, count(DISTINCT r.record_id) AS records, count(DISTINCT r.source_key) AS sources, count(DISTINCT r.field_name) AS fields, count(r.field_value_id) AS values FROM artifact a LEFT JOIN raw_field r USING (artifact_id) GROUP BY ALL",
     "field_statistics": "SELECT dataset_code, section_name, field_name, count(*) AS records, count(DISTINCT edition_year) AS editions, min(edition_year) AS first_edition, max(edition_year) AS last_edition FROM raw_field JOIN artifact USING (artifact_id) GROUP BY ALL",
     "field_evolution": "SELECT field_name, count(*) AS records, count(DISTINCT artifact_id) AS files, CASE WHEN field_name IN (SELECT label FROM metric) THEN 'mapped' WHEN regexp_full_match(field_name, '[A-Z ]+:?') THEN 'ignored' ELSE 'unmapped' END AS state FROM raw_field GROUP BY field_name ORDER BY 2 DESC, 1 LIMIT 400",

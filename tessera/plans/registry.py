@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalogue_queries, claim_queries, preparation
+from . import catalogue_queries, claim_queries, preparation, source_queries
 
-MODULES = (preparation, claim_queries, catalogue_queries)
+MODULES = (preparation, claim_queries, catalogue_queries, source_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
