@@ -3,11 +3,11 @@
 1. Dialects: constructs of Markdown, wiki and LaTeX markup are found by patterns strict enough to leave prose alone
    (money, comparison signs, identifiers, paths, footnote stars, editors' brackets) and rewritten as elements.
 2. Nodes: the elements are walked once; each text node has its root-to-leaf tag path.
-   Any node off the root path, or root text changed on the way, means that the text holds markup.
 3. Tag-path ratios: per path the text length and the punctuation per node are aggregated, less the share of the path's
    text that is linked, smoothed over the sequence of nodes, fused by their geometric mean and compared with a threshold
    taken from the document's own spread. Nodes below it are dropped, whatever their tags; lists, tables, code and
    formulas that aren't mostly links, and headings of kept content, stay.
+   A kept node off the root path, or kept text that isn't the text as it was, means that the text holds markup.
 4. Rendering: headings stand alone in their paragraph, list items begin with "- " or "1. ", table rows are tab-separated
    lines, code is indented by four blanks, formulas are linear; each is also listed in ``blocks`` with its kind.
 
@@ -253,6 +253,7 @@ def _from_wiki(t: str) -> str:
         return "<table>" + "".join(rows) + "</table>"
 
     t = re.sub(r"^\{\|[^\n]*\n([\s\S]*?)(?:^\|\}|\Z)", table, t, flags=re.M)
+    t = re.sub(r"^\{\|", "", t, flags=re.M)  # a table that never begins
     t = re.sub(r"\[\[(?:File|Image|Category):[^\[\]]*\]\]", "", t, flags=re.I)
     t = _WIKI_LINK.sub(lambda m: f"<a>{m[0][2:-2].split('|')[-1]}</a>", t)
     t = _WIKI_URL.sub(lambda m: f"<a>{m[0][1:-1].partition(' ')[2] or m[0][1:-1]}</a>", t)
@@ -281,6 +282,7 @@ def _from_markdown(t: str) -> str:
         return f"\1{len(keep) - 1}\1"
 
     t = re.sub(r"^ {0,3}(```|~~~)[^\n]*\n([\s\S]*?)(?:^ {0,3}\1[ \t]*$|\Z)", lambda m: store(f"<pre>{_e(m[2])}</pre>"), t, flags=re.M)
+    t = _MD_FENCE.sub("", t)  # code that never begins
     t = _MD_CODE.sub(lambda m: store(f"<code>{_e(m[0].strip('`').strip())}</code>"), t)
 
     def table(m: re.Match) -> str:
@@ -288,8 +290,9 @@ def _from_markdown(t: str) -> str:
         return "<table>" + "".join("<tr>" + "".join(f"<td>{c.strip()}</td>" for c in r.strip().strip("|").split("|")) + "</tr>" for r in rows) + "</table>\n"
 
     t = re.sub(r"^[^\n]*\|[^\n]*\n[ \t]*\|?[ \t]*:?-{2,}[^\n]*\n?(?:[^\n]*\|[^\n]*(?:\n|\Z))*", lambda m: table(m) if _MD_TABLE.search(m[0]) else m[0], t, flags=re.M)
+    t = re.sub(_MD_TABLE.pattern + r"\n(?:[^\n]*\|[^\n]*(?:\n|\Z))+", table, t, flags=re.M)  # a table without a header
     t = re.sub(r"^ {0,3}(#{1,6})[ \t]+([^\n]*?)[ \t#]*$", lambda m: f"<h{len(m[1])}>{m[2]}</h{len(m[1])}>", t, flags=re.M)
-    t = re.sub(r"^((?=[^\n]*\w)[^\n|<]+)\n(={3,}|-{3,})[ \t]*$", lambda m: f"<h{1 if m[2][0] == '=' else 2}>{m[1]}</h{1 if m[2][0] == '=' else 2}>", t, flags=re.M)
+    t = re.sub(r"^((?=[^\n]*\w)(?:[^\n|<]|<(?![A-Za-z/!]))+)\n(={3,}|-{3,})[ \t]*$", lambda m: f"<h{1 if m[2][0] == '=' else 2}>{m[1]}</h{1 if m[2][0] == '=' else 2}>", t, flags=re.M)
     items = lambda m, tag: f"<{tag}>" + "".join(f"<li>{re.sub(r'^[ \t]*(?:[-*+]|[0-9]+[.)])[ \t]+', '', x)}</li>" for x in m[0].rstrip("\n").split("\n")) + f"</{tag}>\n"
     t = _BULLETS.sub(lambda m: items(m, "ul"), t)
     t = re.sub(r"(?:^[ \t]*[0-9]+[.)][ \t]+\S[^\n]*(?:\n|\Z)){2,}", lambda m: items(m, "ol"), t, flags=re.M)
@@ -386,6 +389,12 @@ class _Walker(HTMLParser):
                 self.nodes.append(Node(path, part, self.block))
 
 
+def _open_comments(t: str) -> str:
+    """The text without the marks of comments that nothing closes: the tags behind them are read."""
+    start = max(0, t.rfind("-->") - 3)
+    return t[:start] + re.sub(r"<!--(?:-?>)?", "", t[start:])
+
+
 def walk(text: str) -> tuple[list[Node], set[str]]:
     """The text nodes of a document and the kinds of markup in it."""
     kinds = formats(text)
@@ -402,17 +411,11 @@ def walk(text: str) -> tuple[list[Node], set[str]]:
         t = _from_markdown(t)
     t = re.sub(r"\[\s*[a-z]+://[^\s\]]+\s*\]", "", t)
     walker = _Walker()
-    walker.feed(t)
+    walker.feed(_open_comments(t) if "html" in kinds else t)
     walker.close()
     return [n for n in walker.nodes if n.text.strip() or len(n.path)], kinds
 
 
-def has_paths(text: str) -> bool:
-    """Whether a text holds markup: its conversion gives a node off the root path, or root text that isn't the text as it was."""
-    nodes, _ = walk(text)
-    return any(n.path for n in nodes) or "".join(n.text for n in nodes) != text
-
-
 # ---- 3. tag-path ratios -----------------------------------------------------------------------------------------------
 
 _FORMULA = re.compile(r"[A-Za-z]\w? = [-+*/()\w^ .]+")
@@ -487,6 +490,15 @@ def content(nodes: list[Node], strictness: float = 0.25) -> list[Node]:
     return [n for n in nodes if n.block in kept or not n.text.strip()]
 
 
+def has_paths(text: str) -> bool:
+    """Whether a text holds markup: what its conversion selects has a node off the root path, or isn't the text as it was.
+
+    A text that loses nodes to the threshold holds markup: nodes of the root path alone have one score and all stay.
+    """
+    kept = content(walk(text)[0])
+    return any(n.path for n in kept) or "".join(n.text for n in kept) != text
+
+
 # ---- 4. rendering -----------------------------------------------------------------------------------------------------
 
 
