@@ -40,19 +40,24 @@ def _one_file(lines: DataFrame, path: str) -> None:
     lines.coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
-def csv_with_bom(df: DataFrame, path: str, most: int = 1_000_000) -> None:
-    """One CSV file for spreadsheets: a byte order mark, a header, rows in the caller's order; refused beyond `most` rows, for which write.csv is meant."""
-    if df.limit(most + 1).count() > most:
+def csv_with_bom(df: DataFrame, path: str, most: int | None = None, rows: int = 1_000_000) -> None:
+    """CSV for spreadsheets, every row of it: files of at most `rows` rows (a spreadsheet holds 1,048,576), each with a byte order mark and the header; by name, then line, they have the caller's order. Refused beyond `most` rows if that is given."""
+    n = df.count()
+    if most is not None and n > most:
         raise ValueError(f"a report of more than {most} rows; write a table instead")
 
     def quoted(c: str) -> Column:
         text = F.coalesce(F.col(c).cast("string"), F.lit(""))
         return F.when(text.rlike('[",\r\n]'), F.concat(F.lit('"'), F.regexp_replace(text, '"', '""'), F.lit('"'))).otherwise(text)
 
-    head = ",".join('"' + c.replace('"', '""') + '"' if set(c) & set('",\r\n') else c for c in df.columns)
-    rows = df.coalesce(1).select(F.concat_ws(",", *map(quoted, df.columns)).alias("value"))
-    first = df.sparkSession.range(1).select(F.lit("\ufeff" + head).alias("value"))
-    _one_file(first.unionByName(rows).coalesce(1), path)
+    head = "\ufeff" + ",".join('"' + c.replace('"', '""') + '"' if set(c) & set('",\r\n') else c for c in df.columns)
+    if not n:
+        return _one_file(df.sparkSession.range(1).select(F.lit(head).alias("value")), path)
+    at, names = F.monotonically_increasing_id(), [f"c{k}" for k in range(len(df.columns))]
+    parts = df.toDF(*names).withColumn("at", at).repartitionByRange(-(-n // rows), "at").sortWithinPartitions("at")  # quoted afterwards, as finding the ranges runs what comes before
+    line, first = F.concat_ws(",", *map(quoted, names)), at.bitwiseAND((1 << 33) - 1) % rows == 0  # the lower 33 bits count a task's rows
+    text = parts.select(F.concat(F.when(first, F.lit(head + "\n")).otherwise(""), line).alias("value"))  # the header in one value with a file's first row: nothing can come before it
+    text.write.mode("overwrite").option("lineSep", "\n").option("maxRecordsPerFile", rows).text(path)
 
 
 def json_lines(df: DataFrame, path: str) -> None:
